@@ -6,13 +6,11 @@ written to the shared folder, so lineage stays one round long and a lost executo
 re-reads a file.
 """
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipyard.operators import extract as ex
-from clipyard.session import materialize
+from clipyard.session import materialize, materialize_counted, scratch_path
 from clipyard.sources.crawl import MAX_DEPTH
 
 #: A page with more links than this may get its edges spread over SALTS keys.
@@ -37,10 +35,33 @@ def child_tasks(parents: DataFrame, link: str, max_depth: int = MAX_DEPTH, *keep
     )
 
 
-def _hot_pages(edges: DataFrame) -> DataFrame:
-    degrees = edges.groupBy("src", "doc_type").agg(F.count(F.lit(1)).alias("degree"))
-    hot = degrees.filter(F.col("degree") > HOT_DEGREE).orderBy(F.desc("degree"), "src")
-    return hot.limit(HOT_PAGES).select(F.col("src").alias("url"), "doc_type", F.lit(True).alias("hot"))
+class _Edges:
+    """Edges keyed for the frontier join, hot source pages spread over SALTS keys."""
+
+    def __init__(self, edges: DataFrame):
+        degrees = edges.groupBy("src", "doc_type").agg(F.count(F.lit(1)).alias("degree"))
+        heavy = degrees.filter(F.col("degree") > HOT_DEGREE).orderBy(F.desc("degree"), "src")
+        self.hot, hot_rows = materialize_counted(
+            heavy.limit(HOT_PAGES).select("src", "doc_type", F.lit(True).alias("hot")), "hot-pages"
+        )
+        self.any_hot = hot_rows > 0
+        if self.any_hot:
+            lane = F.pmod(F.xxhash64("link"), F.lit(SALTS)).cast("int")
+            edges = edges.join(F.broadcast(self.hot), ["src", "doc_type"], "left").select(
+                "src", "doc_type", "link", F.when(F.col("hot"), lane).otherwise(0).alias("salt")
+            )
+        self.rows = materialize(edges, "edges")
+
+    def follow(self, level: DataFrame) -> DataFrame:
+        """Links of the tasks of one level: ``link, depth, visits``."""
+        on = ["src", "doc_type"]
+        parents = level.withColumnRenamed("url", "src")
+        if self.any_hot:
+            every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+            lanes = F.when(F.col("hot"), every).otherwise(F.array(F.lit(0)))
+            parents = parents.join(F.broadcast(self.hot), on, "left").withColumn("salt", F.explode(lanes))
+            on = [*on, "salt"]
+        return parents.join(self.rows, on).select("link", "depth", "visits")
 
 
 def expand(
@@ -53,46 +74,39 @@ def expand(
     once, at its smallest depth. Without, a task is visited once per path that
     leads to it: paths are counted per level, never spelled out.
     """
-    hot = materialize(_hot_pages(edges), "hot-pages")
-    salted = materialize(
-        edges.join(
-            F.broadcast(hot.withColumnRenamed("url", "src")), ["src", "doc_type"], "left"
-        ).select(
-            F.col("src").alias("url"),
-            "doc_type",
-            "link",
-            F.when(F.col("hot"), F.pmod(F.xxhash64("link"), F.lit(SALTS)).cast("int"))
-            .otherwise(0)
-            .alias("salt"),
-        ),
-        "edges",
-    )
-    last_seed = seeds.agg(F.max("depth")).first()[0]
-    levels, children = [], None
+    spark = edges.sparkSession
+    keyed = _Edges(edges)
+    seeds, seed_rows = materialize_counted(seeds.filter("url IS NOT NULL"), "seeds")
+    last_seed = seeds.agg(F.max("depth")).first()[0] if seed_rows else -1
+    one = F.lit(1).cast("bigint")
+    paths, level, reached = [], None, None
     for depth in range(max_depth + 1):
-        tasks = seeds.filter(F.col("depth") == depth).select(*TASK, F.lit(1).cast("bigint").alias("visits"))
-        if children is not None:
-            tasks = tasks.unionByName(children)
+        tasks = None
+        if depth <= last_seed:
+            tasks = seeds.filter(F.col("depth") == depth).select(*TASK, one.alias("visits"))
+        if level is not None:
+            links = child_tasks(keyed.follow(level), "link", max_depth, "visits").drop("depth")
+            tasks = tasks.unionByName(links) if tasks is not None else links
+        if tasks is None:
+            break
         tasks = tasks.filter("url IS NOT NULL").groupBy(*TASK).agg(F.sum("visits").alias("visits"))
-        if dedup and levels:
-            tasks = tasks.join(reduce(DataFrame.unionByName, levels).select(*TASK), TASK, "left_anti")
-        visits = F.lit(1).cast("bigint") if dedup else F.col("visits")
-        level = materialize(
-            tasks.select(*TASK, F.lit(depth).alias("depth"), visits.alias("visits")), "level"
-        )
-        if level.isEmpty():
-            if last_seed is None or depth >= last_seed:
+        if dedup:
+            tasks = tasks.withColumn("visits", one)
+            if reached is not None:
+                tasks = tasks.join(reached.select(*TASK), TASK, "left_anti")
+        tasks = tasks.select(*TASK, F.lit(depth).alias("depth"), "visits")
+        path = scratch_path(spark, f"level-{depth}")
+        level, rows = materialize_counted(tasks, path=path)
+        if rows:
+            paths.append(path)
+            reached = spark.read.schema(level.schema).parquet(*paths)
+        else:
+            level = None
+            if depth >= last_seed:
                 break
-            children = None
-            continue
-        levels.append(level)
-        lanes = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-        parents = level.join(F.broadcast(hot), TASK, "left").withColumn("salt", F.explode(lanes))
-        followed = parents.join(salted, [*TASK, "salt"]).select("link", "depth", "visits")
-        children = child_tasks(followed, "link", max_depth, "visits").drop("depth")
-    if not levels:
-        return seeds.limit(0).select(*TASK, "depth", F.lit(0).cast("bigint").alias("visits"))
-    return reduce(DataFrame.unionByName, levels)
+    if reached is None:
+        return seeds.limit(0).select(*TASK, "depth", one.alias("visits"))
+    return reached
 
 
 def crawl(

@@ -151,6 +151,11 @@ def site_pages(documents: DataFrame) -> DataFrame:
     body = F.when(case == 1, F.lit("")).otherwise(F.concat(F.lit("<div>"), parts, F.lit("</div>")))
     body_class = F.when(case == 0, "post-body").otherwise("post-single-details-body")
     number = F.col("doc_id")
+    blocks = F.concat(
+        related(2 * number + 1),
+        F.when(case == 4, F.lit("<div class=recent-wrap></div>")).otherwise(related(2 * number + 2)),
+        related(7 * number + 3),
+    )
     html = F.concat(
         F.lit("<!DOCTYPE html><html><head><script>var a='<p>';</script></head><body><div class='wide "),
         body_class,
@@ -159,9 +164,7 @@ def site_pages(documents: DataFrame) -> DataFrame:
         F.lit("</h1>"),
         meta,
         body,
-        related(2 * number + 1),
-        F.when(case == 4, F.lit("<div class=recent-wrap></div>")).otherwise(related(2 * number + 2)),
-        related(7 * number + 3),
+        F.when(case == 1, F.lit("")).otherwise(blocks),
         F.lit("</div></body></html>"),
     )
     return (

@@ -202,7 +202,7 @@ ORACLE_SQL = {
     "terms_date": terms("date"),
     "match_topic": match("topic", ["the", "and", "attion"]),
     "match_author": match("author", ["src8", "src12"]),
-    "match_url": match("url", ["https", "src3.example.org", "news"]),
+    "match_url": match("url", ["https", "src3", "example.org", "news"]),
     "match_all_1000": f"""WITH {ARTICLES}
 SELECT doc_id, to_json({{doc_id: doc_id, url: url, topic: topic, date: date, author: author,
                         filling: filling}})::VARCHAR AS source

@@ -3,7 +3,8 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings the library is tuned for; a cluster may override any of them.
 RECOMMENDED_CONF = {
@@ -60,3 +61,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_counted(df: DataFrame, name: str = "table", path: str | None = None):
+    """``materialize`` that also returns the row count, observed during the write."""
+    path = path or scratch_path(df.sparkSession, name)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
