@@ -17,7 +17,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipyard.functions.text import bind, shingles, standard_tokens, whitespace_tokens
+from clipyard.functions.columns import bind
+from clipyard.functions.text import shingles, standard_tokens, whitespace_tokens
 
 # Sketch sizes and thresholds.
 NUM_HASHES = 128

@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from clipyard.functions.columns import bind
+
 # The character rules of the two tokenizers.
 #: Characters a whitespace tokenizer splits on (all but the no-break spaces).
 WHITESPACE = "[\\t-\\r\\x1c-\\x20\\u1680\\u2000-\\u2006\\u2008-\\u200a\\u2028\\u2029\\u205f\\u3000]+"
@@ -17,16 +19,6 @@ STANDARD_TOKEN = (
 )
 
 
-def bind(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once per row.
-
-    A higher-order function re-evaluates whatever expression its lambda
-    mentions; passing the value in as the element of a one-element array makes
-    it a lambda variable instead.
-    """
-    return F.transform(F.array(value), body)[0]
-
-
 def whitespace_tokens(text: Column) -> Column:
     return F.filter(F.split(text, WHITESPACE), lambda t: t != "")
 

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clipyard.functions.columns import with_once
 from clipyard.functions.minhash import bucket_minima, equal_buckets, rotate
 from clipyard.functions.text import standard_tokens
 
@@ -21,7 +22,7 @@ def query_terms(spark, query: str) -> list[str]:
     return row["t"]
 
 
-def _frequency(tokens: str, term: str):
+def _frequency(tokens, term: str):
     return F.size(F.filter(tokens, lambda t: t == F.lit(term)))
 
 
@@ -39,9 +40,16 @@ def match(df: DataFrame, field: str, query: str, k: int = DEFAULT_HITS, key="doc
     tokens = standard_tokens(F.coalesce(F.col(field), F.lit("")))
 
     def counted(frame, *keep):
-        with_tokens = frame.select(*keep, tokens.alias("_tokens"))
-        tf = [_frequency("_tokens", term).alias(f"_tf{i}") for i, term in enumerate(terms)]
-        return with_tokens.select(*keep, F.size("_tokens").alias("_dl"), *tf)
+        # Exploding a one-element array computes the tokens once per row: neither
+        # the later filter nor the score can pull the tokenizer in again.
+        counts = F.transform(
+            F.array(tokens),
+            lambda t: F.struct(
+                F.size(t).alias("_dl"),
+                *[_frequency(t, term).alias(f"_tf{i}") for i, term in enumerate(terms)],
+            ),
+        )
+        return frame.select(*keep, F.inline(counts))
 
     tfs = [F.col(f"_tf{i}") for i in range(len(terms))]
     any_hit = F.greatest(*tfs, F.lit(0)) > 0
@@ -81,7 +89,9 @@ def similar_to(df: DataFrame, sketch: str, query: DataFrame, k=DEFAULT_HITS, key
     """
     column = F.col(query.columns[0])
     wanted = query.select(rotate(bucket_minima(column))).scalar()
-    shared = df.withColumn("_q", wanted).withColumn("shared_buckets", equal_buckets(F.col(sketch), F.col("_q")))
+    shared = with_once(
+        df.withColumn("_q", wanted), shared_buckets=equal_buckets(F.col(sketch), F.col("_q"))
+    )
     return (
         shared.filter("shared_buckets > 0")
         .drop("_q")

@@ -38,9 +38,10 @@ def articles(documents: DataFrame) -> DataFrame:
     )
 
 
-def signed(documents: DataFrame) -> DataFrame:
+def signed(documents: DataFrame, text: str = "text", *keep: str) -> DataFrame:
     """Documents with their signature: ``doc_id, minhash, sig_hi, sig_lo``."""
-    return with_signature_words(documents.select("doc_id", signature(F.col("text")).alias("minhash")))
+    minima = signature(F.col(text)).alias("minhash")
+    return with_signature_words(documents.select("doc_id", *keep, minima))
 
 
 def sketched(documents: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from clipyard.operators import neardup, search
 from clipyard.plans import commands, derived
 from clipyard.plans.derived import table
 from clipyard.schemas import ARTICLE_FIELDS
-from clipyard.session import materialize, scratch_path
+from clipyard.session import materialize, scratch_path, spread
 from clipyard.sinks import articles as article_table
 from clipyard.sinks import logs as log_sinks
 from clipyard.sinks import routing
@@ -35,8 +35,13 @@ BINDINGS = {
 }
 
 
+def _texts(spark, sf):
+    """Documents, for work that is heavy on each text."""
+    return spread(table(spark, sf, "documents"), "doc_id")
+
+
 def _articles(spark, sf):
-    return derived.articles(table(spark, sf, "documents"))
+    return derived.articles(_texts(spark, sf))
 
 
 # Counts and searches ---------------------------------------------------------------
@@ -71,7 +76,7 @@ def term_list(spark, sf):
 
 def standard_token_counts(spark, sf):
     tokens = standard_tokens(F.col("text"))
-    return table(spark, sf, "documents").select(
+    return _texts(spark, sf).select(
         "doc_id",
         F.size(tokens).alias("n_tokens"),
         F.md5(F.array_join(tokens, " ")).alias("tokens_md5"),
@@ -84,7 +89,7 @@ def doc_keys(spark, sf):
 
 
 def _written_index(spark, sf):
-    decoded = inbox.index_messages(derived.index_messages(table(spark, sf, "documents")), "seq")
+    decoded = inbox.index_messages(derived.index_messages(_texts(spark, sf)), "seq")
     path = scratch_path(spark, "articles")
     article_table.append_batch(inbox.articles_to_index(decoded), path, 0)
     return article_table.read_all(spark, path)
@@ -105,25 +110,23 @@ def index_upsert(spark, sf):
 
 
 def index_message_scan(spark, sf):
-    messages = derived.index_messages(table(spark, sf, "documents"))
+    messages = derived.index_messages(_texts(spark, sf))
     return inbox.index_messages(messages, "seq")
 
 
 # Near-duplicates -----------------------------------------------------------------------
 def minhash_bits(spark, sf):
-    signed = derived.signed(table(spark, sf, "documents"))
+    signed = derived.signed(_texts(spark, sf))
     return signed.select("doc_id", signature_bits(F.col("minhash")).alias("bits"))
 
 
 def near_duplicates(spark, sf):
-    documents = table(spark, sf, "documents")
-    signed = derived.signed(documents).join(_articles(spark, sf).select("doc_id", "topic"), "doc_id")
-    stored = materialize(signed, "signed")
+    stored = materialize(derived.signed(_articles(spark, sf), "filling", "topic"), "signed")
     return commands.near_duplicates(stored, "doc_id")
 
 
 def _stored_groups(spark, sf, mode):
-    stored = materialize(derived.signed(table(spark, sf, "documents")), "signed")
+    stored = materialize(derived.signed(_texts(spark, sf)), "signed")
     groups = materialize(neardup.signature_groups(stored, "doc_id", mode), "groups")
     return stored, groups
 
@@ -150,13 +153,13 @@ def near_duplicates_of_labelled(spark, sf):
 
 def shingles5(spark, sf):
     grams = shingles(standard_tokens(F.col("text"), lowercase=False))
-    return table(spark, sf, "documents").select("doc_id", grams.alias("g")).select(
+    return _texts(spark, sf).select("doc_id", grams.alias("g")).select(
         "doc_id", F.size("g").alias("n_shingles"), F.md5(F.array_join("g", "|")).alias("shingles_md5")
     )
 
 
 def bucket_minima_512(spark, sf):
-    sparse = table(spark, sf, "documents").select("doc_id", bucket_minima(F.col("text")).alias("m"))
+    sparse = _texts(spark, sf).select("doc_id", bucket_minima(F.col("text")).alias("m"))
     return sparse.select(
         "doc_id",
         F.size("m").alias("used_buckets"),
@@ -167,7 +170,7 @@ def bucket_minima_512(spark, sf):
 def similar_to(spark, sf):
     passages = table(spark, sf, "benchmark")
     first = passages.orderBy("item_id").limit(1).select("text")
-    sketched = derived.sketched(table(spark, sf, "documents"))
+    sketched = derived.sketched(_texts(spark, sf))
     hits = search.similar_to(sketched, "sketch", first, key="doc_id")
     return hits.select("doc_id", "shared_buckets")
 
@@ -182,7 +185,7 @@ def page_links(spark, sf):
 
 
 def _site(spark, sf):
-    documents = table(spark, sf, "documents")
+    documents = _texts(spark, sf)
     return derived.site_pages(documents), derived.listing_pages(documents)
 
 
@@ -243,7 +246,7 @@ def crawl_revisits(spark, sf):
 def crawl_articles(spark, sf):
     pages, listings = _site(spark, sf)
     seeds = crawl_sources.seed_tasks(derived.site_roots(table(spark, sf, "documents")))
-    snapshots = pages.unionByName(listings).select("url", "html")
+    snapshots = materialize(pages.unionByName(listings).select("url", "html"), "snapshots")
     _, found = crawling.crawl(snapshots, seeds)
     return found.select("url", "depth", "topic", "date", "author", F.md5("filling").alias("filling_md5"))
 
@@ -257,7 +260,7 @@ def route_messages(spark, sf):
 
 # Logs ----------------------------------------------------------------------------------------
 def _parsed(spark, sf):
-    lines = derived.log_lines(table(spark, sf, "events"))
+    lines = derived.log_lines(spread(table(spark, sf, "events"), "event_id"))
     return log_sources.parse_lines(lines, "value", "event_id")
 
 

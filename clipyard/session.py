@@ -69,3 +69,15 @@ def materialize_counted(df: DataFrame, name: str = "table", path: str | None = N
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a scan with few splits enough tasks for CPU-heavy work on each row.
+
+    A large table already has more splits than the cluster has cores and is passed
+    through without a shuffle; so is a stream.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= 2 * cores:
+        return df
+    return df.repartition(2 * cores, key)

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clipyard.functions.columns import with_once
 from clipyard.functions.messages import decode
 from clipyard.schemas import ARTICLE_FIELDS, INDEX_MESSAGE
 
@@ -16,7 +17,7 @@ def index_messages(messages: DataFrame, *keep: str, value: str = "value") -> Dat
     A missing text field is the empty string and a missing code means "index".
     Lines that are not JSON objects are dropped.
     """
-    decoded = messages.select(*keep, decode(value, INDEX_MESSAGE).alias("m"))
+    decoded = with_once(messages, m=decode(value, INDEX_MESSAGE))
     texts = [F.coalesce(f"m.{f}", F.lit("")).alias(f) for f in ARTICLE_FIELDS if f != "url"]
     return decoded.filter(F.col("m").isNotNull()).select(
         *keep,
