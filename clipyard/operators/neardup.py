@@ -38,7 +38,6 @@ from clipyard.functions.minhash import (
     differing_bits,
     max_differing_bits,
     similarity,
-    with_signature_words,
 )
 from clipyard.operators.skew import lookup
 
@@ -51,10 +50,13 @@ MAX_BANDS_PER_KEY = 4
 
 
 def signature_groups(docs: DataFrame, key: str, mode: str = "exact") -> DataFrame:
-    """One row per distinct signature: ``rep, copies, sig_hi, sig_lo``."""
+    """One row per distinct signature: ``sig_hi, sig_lo, rep, copies``.
+
+    For ``lsh`` also ``bands``, the band keys of the representative's minima.
+    """
     totals = [F.min(key).alias("rep"), F.count(F.lit(1)).alias("copies")]
     if mode == "lsh":
-        return with_signature_words(docs.groupBy("minhash").agg(*totals))
+        totals.append(F.min_by(lsh_keys(F.col("minhash")), F.col(key)).alias("bands"))
     return docs.groupBy("sig_hi", "sig_lo").agg(*totals)
 
 
@@ -203,7 +205,7 @@ def similar_groups(
     limit = max_differing_bits(threshold)
     head = ["rep", "copies", "sig_hi", "sig_lo"]
     if mode == "lsh":
-        keys, canonical = lsh_keys(F.col("minhash")), None
+        keys, canonical = F.col("bands"), None
     elif mode == "exact":
         per_key = per_key or bands_per_key(rows or groups.count(), limit)
         bands = limit + per_key

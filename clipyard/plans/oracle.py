@@ -225,8 +225,8 @@ SELECT pairs.*, 1 - differing_bits / 128.0::DOUBLE AS similarity, a.topic AS top
 FROM pairs JOIN articles a ON a.doc_id = rep_a JOIN articles b ON b.doc_id = rep_b""",
     "near_duplicates_lsh": f"""WITH {SIGNED},
 groups AS (
-  SELECT minhash, any_value(bits) AS bits, min(doc_id) AS rep, count(*) AS copies
-  FROM signed GROUP BY minhash)
+  SELECT bits, arg_min(minhash, doc_id) AS minhash, min(doc_id) AS rep, count(*) AS copies
+  FROM signed GROUP BY bits)
 SELECT a.rep AS rep_a, b.rep AS rep_b, a.copies AS copies_a, b.copies AS copies_b,
        hamming(a.bits, b.bits)::INTEGER AS differing_bits,
        1 - hamming(a.bits, b.bits) / 128.0::DOUBLE AS similarity

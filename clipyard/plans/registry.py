@@ -185,22 +185,26 @@ def page_links(spark, sf):
 
 
 def _site(spark, sf):
+    """Article and listing pages in the site's layout, stored as page snapshots."""
     documents = _texts(spark, sf)
-    return derived.site_pages(documents), derived.listing_pages(documents)
+    return (
+        materialize(derived.site_pages(documents), "pages"),
+        materialize(derived.listing_pages(documents), "listings"),
+    )
 
 
 def site_articles(spark, sf):
-    pages, _ = _site(spark, sf)
+    pages = materialize(derived.site_pages(_texts(spark, sf)), "pages")
     return ex.articles(ex.extract(pages))
 
 
 def site_related_links(spark, sf):
-    pages, _ = _site(spark, sf)
+    pages = materialize(derived.site_pages(_texts(spark, sf)), "pages")
     return ex.links(ex.extract(pages))
 
 
 def site_listing_links(spark, sf):
-    _, listings = _site(spark, sf)
+    listings = materialize(derived.listing_pages(_texts(spark, sf)), "listings")
     return ex.links(ex.extract(listings))
 
 
@@ -246,7 +250,7 @@ def crawl_revisits(spark, sf):
 def crawl_articles(spark, sf):
     pages, listings = _site(spark, sf)
     seeds = crawl_sources.seed_tasks(derived.site_roots(table(spark, sf, "documents")))
-    snapshots = materialize(pages.unionByName(listings).select("url", "html"), "snapshots")
+    snapshots = pages.unionByName(listings).select("url", "html")
     _, found = crawling.crawl(snapshots, seeds)
     return found.select("url", "depth", "topic", "date", "author", F.md5("filling").alias("filling_md5"))
 

@@ -1,5 +1,7 @@
 """Session settings and the shared scratch folder."""
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -81,3 +83,18 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     if df.isStreaming or df.rdd.getNumPartitions() >= 2 * cores:
         return df
     return df.repartition(2 * cores, key)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of a running session.
+
+    The same as submitting with ``--py-files``; done once per application.
+    """
+    key = "clipyard.shipped"
+    if spark.conf.get(key, None) == spark.sparkContext.applicationId:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="clipyard-package-"), "clipyard")
+    archive = shutil.make_archive(base, "zip", os.path.dirname(root), os.path.basename(root))
+    spark.sparkContext.addPyFile(archive)
+    spark.conf.set(key, spark.sparkContext.applicationId)
