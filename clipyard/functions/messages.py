@@ -7,8 +7,3 @@ from pyspark.sql import functions as F
 def encode(*columns: str) -> Column:
     """The named columns as one JSON object."""
     return F.to_json(F.struct(*columns))
-
-
-def decode(value, schema) -> Column:
-    """A JSON object as a struct of the given schema."""
-    return F.from_json(value, schema)

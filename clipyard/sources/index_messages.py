@@ -2,9 +2,9 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clipyard.functions.columns import with_once
-from clipyard.functions.messages import decode
 from clipyard.schemas import ARTICLE_FIELDS, INDEX_MESSAGE
 
 # Fixed value: the command code of a message that carries an article.
@@ -17,9 +17,12 @@ def index_messages(messages: DataFrame, *keep: str, value: str = "value") -> Dat
     A missing text field is the empty string and a missing code means "index".
     Lines that are not JSON objects are dropped.
     """
-    decoded = with_once(messages, m=decode(value, INDEX_MESSAGE))
+    broken = T.StructField("_broken", T.StringType())
+    schema = T.StructType([*INDEX_MESSAGE.fields, broken])
+    message = F.from_json(value, schema, {"columnNameOfCorruptRecord": broken.name})
+    decoded = with_once(messages, m=message)
     texts = [F.coalesce(f"m.{f}", F.lit("")).alias(f) for f in ARTICLE_FIELDS if f != "url"]
-    return decoded.filter(F.col("m").isNotNull()).select(
+    return decoded.filter(F.col("m").isNotNull() & F.col("m._broken").isNull()).select(
         *keep,
         "m.url",
         *texts,
