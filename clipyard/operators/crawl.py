@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipyard.operators import extract as ex
-from clipyard.session import materialize, materialize_counted, scratch_path
+from clipyard.session import (
+    materialize,
+    materialize_bucketed,
+    materialize_counted,
+    scratch_path,
+)
 from clipyard.sources.crawl import MAX_DEPTH
 
 #: A page with more links than this may get its edges spread over SALTS keys.
@@ -36,7 +41,12 @@ def child_tasks(parents: DataFrame, link: str, max_depth: int = MAX_DEPTH, *keep
 
 
 class _Edges:
-    """Edges keyed for the frontier join, hot source pages spread over SALTS keys."""
+    """Edges stored by source page, hot source pages spread over SALTS keys.
+
+    Stored once in buckets, so a round shuffles its frontier but not the edges.
+    """
+
+    KEYS = ["src", "doc_type", "salt"]
 
     def __init__(self, edges: DataFrame):
         degrees = edges.groupBy("src", "doc_type").agg(F.count(F.lit(1)).alias("degree"))
@@ -45,23 +55,28 @@ class _Edges:
             heavy.limit(HOT_PAGES).select("src", "doc_type", F.lit(True).alias("hot")), "hot-pages"
         )
         self.any_hot = hot_rows > 0
+        salt = F.lit(0)
         if self.any_hot:
+            edges = edges.join(F.broadcast(self.hot), ["src", "doc_type"], "left")
             lane = F.pmod(F.xxhash64("link"), F.lit(SALTS)).cast("int")
-            edges = edges.join(F.broadcast(self.hot), ["src", "doc_type"], "left").select(
-                "src", "doc_type", "link", F.when(F.col("hot"), lane).otherwise(0).alias("salt")
-            )
-        self.rows = materialize(edges, "edges")
+            salt = F.when(F.col("hot"), lane).otherwise(0)
+        self.spark = edges.sparkSession
+        self.table = materialize_bucketed(
+            edges.select("src", "doc_type", "link", salt.alias("salt")), "edges", self.KEYS
+        )
 
     def follow(self, level: DataFrame) -> DataFrame:
         """Links of the tasks of one level: ``link, depth, visits``."""
-        on = ["src", "doc_type"]
         parents = level.withColumnRenamed("url", "src")
+        lanes = F.array(F.lit(0))
         if self.any_hot:
-            every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-            lanes = F.when(F.col("hot"), every).otherwise(F.array(F.lit(0)))
-            parents = parents.join(F.broadcast(self.hot), on, "left").withColumn("salt", F.explode(lanes))
-            on = [*on, "salt"]
-        return parents.join(self.rows, on).select("link", "depth", "visits")
+            parents = parents.join(F.broadcast(self.hot), ["src", "doc_type"], "left")
+            lanes = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(lanes)
+        parents = parents.withColumn("salt", F.explode(lanes))
+        return parents.join(self.spark.table(self.table), self.KEYS).select("link", "depth", "visits")
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
 def expand(
@@ -74,8 +89,15 @@ def expand(
     once, at its smallest depth. Without, a task is visited once per path that
     leads to it: paths are counted per level, never spelled out.
     """
-    spark = edges.sparkSession
     keyed = _Edges(edges)
+    try:
+        return _expand(keyed, seeds, max_depth, dedup)
+    finally:
+        keyed.drop()
+
+
+def _expand(keyed: _Edges, seeds: DataFrame, max_depth: int, dedup: bool) -> DataFrame:
+    spark = keyed.spark
     seeds, seed_rows = materialize_counted(seeds.filter("url IS NOT NULL"), "seeds")
     last_seed = seeds.agg(F.max("depth")).first()[0] if seed_rows else -1
     one = F.lit(1).cast("bigint")

@@ -10,7 +10,8 @@ has many copies, so the result is kept in a lossless compact form:
 
 Two documents are near-duplicates exactly if they share a group or their groups
 are a listed pair. ``near_duplicate_counts`` turns that into one row per
-document, ``similar_documents`` spells it out for chosen documents.
+document, ``similar_to_chosen`` into the neighbours of chosen documents, and
+``group_members`` lists who is in a group.
 
 Candidates come from an equi-join on band keys:
 
@@ -249,24 +250,48 @@ def near_duplicate_counts(docs: DataFrame, key: str, groups: DataFrame, pairs: D
     return counted
 
 
-def similar_documents(
-    docs: DataFrame, key: str, groups: DataFrame, pairs: DataFrame, wanted: DataFrame
+def similar_to_chosen(
+    docs: DataFrame, key: str, groups: DataFrame, pairs: DataFrame, chosen: DataFrame
 ) -> DataFrame:
-    """Ordered pairs ``(key, similar_key)`` for the documents listed in ``wanted``.
+    """The groups similar to chosen documents: ``rep, chosen, similar_rep, similar_copies``.
 
-    ``wanted`` has the one column ``key``; the output is as large as what it asks for.
+    ``chosen`` lists document keys in a column ``key``. They are counted per group
+    first, so many chosen copies of one text cost one row; the group itself is
+    listed as its own neighbour. Members come from ``group_members``.
     """
-    both = pairs.select("rep_a", "rep_b").union(pairs.select("rep_b", "rep_a"))
     signature = ["sig_hi", "sig_lo"]
-    asked = docs.join(wanted, key, "left_semi").select(key, *signature)
-    reps = asked.join(groups.select("rep", *signature), signature).select(key, "rep")
-    near = reps.union(
-        reps.join(both, F.col("rep") == F.col("rep_a")).select(key, F.col("rep_b").alias("rep"))
+    counted = (
+        docs.join(chosen.select(key).distinct(), key, "left_semi")
+        .groupBy(*signature)
+        .agg(F.count(F.lit(1)).alias("chosen"))
     )
-    targets = near.join(groups.select("rep", *signature), "rep").select(key, *signature)
-    others = docs.select(F.col(key).alias("similar_key"), *signature)
-    return (
-        targets.join(others, signature)
-        .filter(F.col(key) != F.col("similar_key"))
-        .select(key, "similar_key")
+    asked = counted.join(groups, signature).select("rep", "chosen", "copies")
+    own = asked.select(
+        "rep", "chosen", F.col("rep").alias("similar_rep"), F.col("copies").alias("similar_copies")
     )
+    ends = F.array(
+        *[
+            F.struct(
+                F.col(f"rep_{a}").alias("rep"),
+                F.col(f"rep_{b}").alias("similar_rep"),
+                F.col(f"copies_{b}").alias("similar_copies"),
+            )
+            for a, b in ("ab", "ba")
+        ]
+    )
+    near = pairs.select(F.inline(ends))
+    others = asked.join(near, "rep").select("rep", "chosen", "similar_rep", "similar_copies")
+    return own.unionByName(others)
+
+
+def group_members(docs: DataFrame, key: str, groups: DataFrame) -> DataFrame:
+    """Documents of the given groups: ``key, rep``."""
+    found = lookup(
+        docs.select(key, "sig_hi", "sig_lo"),
+        groups.select("sig_hi", "sig_lo", "rep", "copies"),
+        ["sig_hi", "sig_lo"],
+        weight="copies",
+        spread=key,
+        how="inner",
+    )
+    return found.select(key, "rep")

@@ -241,10 +241,14 @@ similar_docs AS (
   FROM signed a JOIN signed b ON hamming(a.bits, b.bits) <= 12 GROUP BY a.doc_id)
 SELECT doc_id, rep AS group_rep, copies, similar_docs
 FROM signed JOIN groups USING (bits) JOIN similar_docs USING (doc_id)""",
-    "near_duplicates_of_labelled": f"""WITH {SIGNED}
-SELECT a.doc_id, b.doc_id AS similar_key
-FROM signed a JOIN signed b ON a.doc_id <> b.doc_id AND hamming(a.bits, b.bits) <= 12
-WHERE a.doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
+    "near_duplicate_groups": f"""WITH {SIGNED}, {GROUPS}
+SELECT doc_id, rep FROM signed JOIN groups USING (bits)""",
+    "near_duplicates_of_labelled": f"""WITH {SIGNED}, {GROUPS},
+asked AS (
+  SELECT rep, bits, count(*) AS chosen FROM signed JOIN groups USING (bits)
+  WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) GROUP BY rep, bits)
+SELECT a.rep, a.chosen, g.rep AS similar_rep, g.copies AS similar_copies
+FROM asked a JOIN groups g ON hamming(a.bits, g.bits) <= 12""",
     "shingles5": f"""WITH {SHINGLES}
 SELECT doc_id, len(g)::INTEGER AS n_shingles, md5(array_to_string(g, '|')) AS shingles_md5 FROM grams""",
     "bucket_minima_512": f"""WITH {SKETCHES},
@@ -257,6 +261,7 @@ SELECT d.doc_id, count(*)::INTEGER AS shared_buckets
 FROM dense d JOIN q_dense q ON d.b = q.b AND d.v = q.v
 GROUP BY d.doc_id ORDER BY shared_buckets DESC, d.doc_id LIMIT 10""",
     "page_articles": "SELECT url, regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1) AS topic FROM pages",
+    "page_decode": "SELECT url, html FROM pages",
     "page_links": """SELECT url, unnest(regexp_extract_all(html, '<a [^>]*?href="([^"]*)"', 1)) AS link FROM pages""",
     "site_articles": f"WITH {SITE_PAGES} SELECT url, topic, date, author, filling FROM site",
     "site_related_links": f"""WITH {SITE_PAGES}

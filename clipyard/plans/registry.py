@@ -45,13 +45,20 @@ def _articles(spark, sf):
 
 
 # Counts and searches ---------------------------------------------------------------
+def _fields(spark, sf, field):
+    """Articles for work on one short field; only the topic is costly to derive."""
+    if field == "topic":
+        return _articles(spark, sf)
+    return derived.articles(table(spark, sf, "documents"))
+
+
 def terms_by(field):
-    return lambda spark, sf: search.terms(_articles(spark, sf), field)
+    return lambda spark, sf: search.terms(_fields(spark, sf, field), field)
 
 
 def match_on(field, query):
     def run(spark, sf):
-        hits = search.match(_articles(spark, sf), field, query, key="doc_id")
+        hits = search.match(_fields(spark, sf, field), field, query, key="doc_id")
         return hits.select("doc_id", field, "score", "total_hits")
 
     return run
@@ -62,7 +69,7 @@ def match_all_1000(spark, sf):
 
 
 def count_all(spark, sf):
-    return search.count_all(_articles(spark, sf))
+    return search.count_all(table(spark, sf, "documents"))
 
 
 def term_count(spark, sf):
@@ -144,11 +151,17 @@ def near_duplicate_counts(spark, sf):
 
 
 def near_duplicates_of_labelled(spark, sf):
-    """Every document similar to one that is labelled toxic."""
+    """The groups similar to the documents labelled toxic."""
     stored, groups = _stored_groups(spark, sf, "exact")
     pairs = neardup.similar_groups(groups, "exact", rows=stored.count())
-    wanted = table(spark, sf, "labels").filter("toxic = 1").select("doc_id").distinct()
-    return neardup.similar_documents(stored, "doc_id", groups, pairs, wanted)
+    toxic = table(spark, sf, "labels").filter("toxic = 1")
+    return neardup.similar_to_chosen(stored, "doc_id", groups, pairs, toxic)
+
+
+def near_duplicate_groups(spark, sf):
+    """Which group of equal signatures every document is in."""
+    stored, groups = _stored_groups(spark, sf, "exact")
+    return neardup.group_members(stored, "doc_id", groups)
 
 
 def shingles5(spark, sf):
@@ -180,6 +193,11 @@ def page_articles(spark, sf):
     return ex.generic_articles(table(spark, sf, "pages"))
 
 
+def page_decode(spark, sf):
+    raw = table(spark, sf, "pages").select("url", F.encode("html", "UTF-8").alias("html"))
+    return crawl_sources.decode_pages(raw)
+
+
 def page_links(spark, sf):
     return ex.generic_links(table(spark, sf, "pages"))
 
@@ -358,11 +376,13 @@ QUERIES = {
     "near_duplicates": near_duplicates,
     "near_duplicates_lsh": near_duplicates_lsh,
     "near_duplicate_counts": near_duplicate_counts,
+    "near_duplicate_groups": near_duplicate_groups,
     "near_duplicates_of_labelled": near_duplicates_of_labelled,
     "shingles5": shingles5,
     "bucket_minima_512": bucket_minima_512,
     "similar_to": similar_to,
     "page_articles": page_articles,
+    "page_decode": page_decode,
     "page_links": page_links,
     "site_articles": site_articles,
     "site_related_links": site_related_links,

@@ -73,6 +73,26 @@ def materialize_counted(df: DataFrame, name: str = "table", path: str | None = N
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
 
 
+def materialize_bucketed(df: DataFrame, name: str, keys: list[str]) -> str:
+    """Write ``df`` to the shared folder hashed and sorted by ``keys``; returns a table name.
+
+    Joins on exactly these keys read the table in place and shuffle the other side
+    only. The caller drops the name when done; the files stay with the scratch folder.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (
+        df.repartition(buckets, *keys)
+        .write.bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+    return table
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give a scan with few splits enough tasks for CPU-heavy work on each row.
 

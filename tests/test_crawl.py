@@ -29,6 +29,12 @@ def test_child_tasks_stop_at_the_depth_limit(spark):
     assert [tuple(r) for r in crawl.child_tasks(parents, "url").collect()] == [("a", 1, 10)]
 
 
+def test_decode_pages(spark):
+    raw = [("a", "é".encode()), ("b", b"\xef\xbb\xbfx"), ("c", b"a\xffb"), ("d", None)]
+    rows = sources.decode_pages(spark.createDataFrame(raw, "url string, html binary")).collect()
+    assert [r["html"] for r in rows] == ["é", "x", "a\ufffdb", None]
+
+
 FETCHES = {
     "first": ([(1, 200, "x"), (2, 404, None)], (1, "ok")),
     "second": ([(1, 500, None), (2, 200, "y"), (3, 404, None)], (2, "ok")),

@@ -64,11 +64,19 @@ def test_counts_and_listing(case, spark):
     assert {r["doc_id"]: r["similar_docs"] for r in counts} == want
     assert {r["doc_id"]: r["copies"] for r in counts} == {i: values.count(v) for i, v in enumerate(values)}
 
-    wanted = spark.createDataFrame([(3,), (100,), (249,)], "doc_id long")
-    listed = neardup.similar_documents(docs, "doc_id", groups, pairs, wanted).collect()
-    assert sorted(map(tuple, listed)) == sorted(
-        (i, j) for i in (3, 100, 249) for j, w in enumerate(values) if i != j and near(values[i], w)
-    )
+    chosen = [3, 100, 101, 249]
+    wanted = spark.createDataFrame([(i,) for i in chosen], "doc_id long")
+    rows = neardup.similar_to_chosen(docs, "doc_id", groups, pairs, wanted).collect()
+    members = {}
+    for r in neardup.group_members(docs, "doc_id", groups).collect():
+        members.setdefault(r["rep"], set()).add(r["doc_id"])
+    assert sorted(i for m in members.values() for i in m) == list(range(len(values)))
+    for i in chosen:
+        listed = [r for r in rows if i in members[r["rep"]]]
+        assert all(r["chosen"] == len(members[r["rep"]] & set(chosen)) for r in listed)
+        assert all(r["similar_copies"] == len(members[r["similar_rep"]]) for r in listed)
+        found = [j for r in listed for j in members[r["similar_rep"]]]
+        assert sorted(found) == [j for j, w in enumerate(values) if near(values[i], w)]
 
 
 def test_one_text_with_a_third_of_all_rows(spark):
@@ -96,8 +104,11 @@ def test_lsh_finds_a_subset_and_the_close_texts(spark):
 
     def pairs(mode):
         groups = neardup.signature_groups(docs, "doc_id", mode).cache()
-        found = neardup.similar_groups(groups, mode, block_rows=7)
-        return set(map(tuple, neardup.similar_documents(docs, "doc_id", groups, found, docs.select("doc_id")).collect()))
+        found = neardup.similar_groups(groups, mode, block_rows=7).cache()
+        rows = neardup.similar_to_chosen(docs, "doc_id", groups, found, docs.select("doc_id")).collect()
+        rep = {r["doc_id"]: r["rep"] for r in neardup.group_members(docs, "doc_id", groups).collect()}
+        linked = {(r["rep"], r["similar_rep"]) for r in rows}
+        return {(i, j) for i in rep for j in rep if i != j and (rep[i], rep[j]) in linked}
 
     exact, lsh = pairs("exact"), pairs("lsh")
     assert lsh <= exact
