@@ -33,6 +33,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clipyard.functions.columns import with_once
 from clipyard.functions.minhash import (
     NUM_HASHES,
     SIMILARITY_THRESHOLD,
@@ -218,7 +219,8 @@ def similar_groups(
     pairs = bucket_pairs(keyed, limit, block_rows)
     columns = ["rep_a", "rep_b", "copies_a", "copies_b", "differing_bits"]
     if canonical is not None:
-        pairs = pairs.filter(canonical).select(*columns)
+        # Kept out of the join condition, which runs for every candidate.
+        pairs = with_once(pairs, first=canonical).filter("first").select(*columns)
     else:
         pairs = pairs.select(*columns).dropDuplicates(["rep_a", "rep_b"])
     return pairs.withColumn("similarity", similarity(F.col("differing_bits")))

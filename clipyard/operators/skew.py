@@ -21,21 +21,17 @@ def lookup(facts: DataFrame, keys: DataFrame, on, weight: str, spread: str, how=
     values = [c for c in keys.columns if c not in on]
     hot = keys.orderBy(F.desc(weight), *on).limit(HOT_KEYS)
     hot = hot.select(*on, F.struct(*values).alias("_hot"))
-    cold = keys.select(*[F.col(c).alias(f"_k_{c}") for c in on], F.struct(*values).alias("_cold"))
-    cold = cold.withColumn("_lane", F.lit(0).cast("bigint"))
-    # Lane 0 is the shuffle join proper; a served row moves to a lane of its own.
-    served = facts.join(F.broadcast(hot), on, "left").withColumn(
-        "_lane",
-        F.when(F.col("_hot").isNull(), 0).otherwise(
-            F.xxhash64(spread).bitwiseOR(F.lit(1)).cast("bigint")
-        ),
+    # The shuffle join has one more key: the hash of the join key, or for a row that
+    # is already served the hash of its own, so that such rows go everywhere.
+    cold = keys.select(
+        *[F.col(c).alias(f"_k_{c}") for c in on],
+        F.xxhash64(*on).alias("_k_lane"),
+        F.struct(*values).alias("_cold"),
     )
+    lane = F.when(F.col("_hot").isNull(), F.xxhash64(*on)).otherwise(F.xxhash64(spread))
+    served = facts.join(F.broadcast(hot), on, "left").withColumn("_lane", lane)
     match = [F.col(c) == F.col(f"_k_{c}") for c in on]
-    joined = served.join(
-        cold.withColumnRenamed("_lane", "_cold_lane"),
-        [*match, F.col("_lane") == F.col("_cold_lane")],
-        "left",
-    )
+    joined = served.join(cold, [*match, F.col("_lane") == F.col("_k_lane")], "left")
     found = F.coalesce(F.col("_hot"), F.col("_cold"))
     if how == "inner":
         joined = joined.filter(found.isNotNull())

@@ -18,3 +18,16 @@ def test_lookup(spark, monkeypatch, hot_keys):
     inner = skew.lookup(facts, keys, "k", weight="n", spread="id", how="inner").collect()
     assert {r["id"]: (r["k"], r["v"]) for r in inner} == {i: kv for i, kv in want.items() if kv[1] is not None}
     assert len(inner) == len({r["id"] for r in inner})
+
+
+def test_served_rows_spread_over_the_shuffle(spark, capsys):
+    facts = spark.range(100).select("id", (F.col("id") % 3).alias("k"))
+    keys = facts.groupBy("k").agg(F.count("*").alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        skew.lookup(facts, keys, "k", weight="n", spread="id").explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = capsys.readouterr().out
+    assert "NestedLoop" not in plan
+    assert any("hashpartitioning(k#" in line and "_lane#" in line for line in plan.splitlines())
