@@ -9,6 +9,7 @@ from clipyard.llm import (
     histogram_sort,
     pii,
     robust_outliers,
+    sentencepiece_unigram,
     simhash,
     superkmer,
     token_counts,
@@ -78,6 +79,23 @@ def op5_chat_format(spark, sf_dir):
     return chat.read_back(chat.format_chat(turns.unionByName(probe)))
 
 
+def op6_sentencepiece(spark, sf_dir):
+    """Every document encoded into unigram pieces and decoded again."""
+    path = tokenizer_path("piece_bpe_32k.model")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = sentencepiece_unigram.encode_documents(docs, path)
+    both = sentencepiece_unigram.decode_documents(encoded, path)
+    text = F.coalesce("text", F.lit(""))
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        # A marker in the text itself comes back as a space.
+        (F.col("decoded") == F.translate(text, sentencepiece_unigram.MARK, " ")).alias("round_trip"),
+    )
+
+
 def op7_quality_outliers(spark, sf_dir):
     """Base rules and the outlier verdict for every document."""
     judged = robust_outliers.judge(_table(spark, sf_dir, "documents"), carry=["doc_id"])
@@ -119,6 +137,7 @@ QUERIES = {
         op3_token_counts,
         op4_benchmark_leaks,
         op5_chat_format,
+        op6_sentencepiece,
         op7_quality_outliers,
         op8_simhash_near_duplicates,
         op9_pii_spans,

@@ -31,11 +31,12 @@ P = len(FEATURES)
 SCALE = 4096
 #: Share of a group that the estimate rests on, and the chi-square quantile of it (5 degrees).
 NEAR, NEAR_CHI2 = 0.75, 6.6257
-#: Smallest standard deviation of a feature: shares this close are no difference.
-FLOOR = 0.04
+#: Smallest standard deviation of each feature: values this close are no difference. A
+#: repeated line or phrase is common in clean text, so those two are held loosely.
+FLOORS = {"word_length": 0.05, "symbols": 0.03, "capitals": 0.05, "repeats": 0.3, "dup_lines": 0.3}
 STEPS = 6
 #: Squared distance beyond which a text is rejected: a bulk with long tails stays inside.
-CUTOFF = 120.0
+CUTOFF = 70.0
 #: Rows a group needs for an estimate of its own; smaller groups of a language are pooled,
 #: and languages that are still too small once more. A pool under MIN_FIT rejects nothing.
 MIN_GROUP = 200
@@ -164,7 +165,7 @@ def _start(rows: DataFrame) -> DataFrame:
     columns = [*_KEY, "n"]
     for i, name in enumerate(FEATURES):
         q = [F.get(name, F.lit(k)) / SCALE for k in range(3)]
-        spread = F.greatest((q[2] - q[0]) / 1.349, F.lit(FLOOR))
+        spread = F.greatest((q[2] - q[0]) / 1.349, F.lit(FLOORS[name]))
         columns.append(q[1].alias(f"m_{i}"))
         columns += [(1 / spread if i == j else F.lit(0.0)).alias(f"w_{i}_{j}") for j in range(i + 1)]
     return quartiles.select(*columns)
@@ -191,7 +192,7 @@ def _estimate(near: DataFrame) -> DataFrame:
     cov = {}
     for i, j in _PAIRS:
         c = F.col(f"s_{i}_{j}") / F.col("k") / SCALE / SCALE - F.col(f"m_{i}") * F.col(f"m_{j}")
-        cov[f"c_{j}_{i}"] = c + FLOOR**2 if i == j else c
+        cov[f"c_{j}_{i}"] = c + FLOORS[FEATURES[i]] ** 2 if i == j else c
     table = table.withColumns(cov)
     for i in range(P):  # Cholesky, a column at a time
         for j in range(i, P):
@@ -236,7 +237,7 @@ def judge(
     The columns ``carry`` of ``docs`` (all by default, the text included) come along.
     ``kept`` is false where the base rules fail (fewer than 50 words, or over half the
     words in repeated runs of three) and where the squared distance from the group's
-    centre is over ``cutoff``. Features that vary less than FLOOR count as equal, so a
+    centre is over ``cutoff``. Features that vary less than FLOORS count as equal, so a
     group of copies is no fault. A null text counts as empty, null languages and
     sources as empty strings. ``distance`` is null where the base rules fail and in
     pools too small to tell. An empty table gives no rows.

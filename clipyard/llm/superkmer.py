@@ -27,10 +27,11 @@ WINDOW = 13
 RUN = 4
 CELLS = 1 << 16
 #: Text handled at once, and text whose super-k-mers are combined before they are sent.
-SLICE_BYTES = 2 << 20
-BATCH_BYTES = 16 << 20
+SLICE_BYTES = 1 << 20
+BATCH_BYTES = 6 << 20
 #: Packed bytes a bucket is meant to hold.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 8 << 20
+_CHUNK = 1 << 16  # words hashed at once
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -58,11 +59,25 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _span_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A polynomial hash of every ``flat[start:end]``, from one running sum."""
-    sums = np.zeros(len(flat) + 1, np.uint64)
-    np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(flat)), out=sums[1:])
-    return _mix((sums[ends] - sums[starts]) * _power(_INVERSE, len(flat) + 1)[starts])
+def _word_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A polynomial hash of every word, from running sums over stretches of the buffer."""
+    out = np.empty(len(starts), np.uint64)
+    for at in range(0, len(starts), _CHUNK):
+        a, b = starts[at : at + _CHUNK], ends[at : at + _CHUNK]
+        own = flat[a[0] : b[-1]].astype(np.uint64) + np.uint64(1)
+        sums = np.zeros(len(own) + 1, np.uint64)
+        np.cumsum(own * _power(_BASE, len(own)), out=sums[1:])
+        inverse = _power(_INVERSE, len(own) + 1)
+        out[at : at + _CHUNK] = _mix((sums[b - a[0]] - sums[a - a[0]]) * inverse[a - a[0]])
+    return out
+
+
+def _sequence_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` words from each word on (too few at the end: not used)."""
+    out, n = hashes.copy(), len(hashes)
+    for k in range(1, min(size, n)):
+        out[: n - k] = out[: n - k] * np.uint64(_BASE) + hashes[k:]
+    return _mix(out)
 
 
 class Words:
@@ -111,16 +126,13 @@ def _slices(texts: pa.Array, size: int):
 
 def _runs(words: Words):
     """Hash of the run of ``RUN`` words at each word, and whether it stays in its text."""
-    hashes = _span_hashes(words.flat, words.starts, words.ends)
-    n = len(hashes)
-    runs = hashes.copy()
-    for k in range(1, RUN):
-        runs[: n - k] = runs[: n - k] * np.uint64(_BASE) + hashes[k:]
+    runs = _sequence_hashes(_word_hashes(words.flat, words.starts, words.ends), RUN)
+    n = len(runs)
     text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
     whole = np.zeros(n, bool)
     if n >= RUN:
         whole[: n - RUN + 1] = text[: n - RUN + 1] == text[RUN - 1 :]
-    return _mix(runs), whole, text
+    return runs, whole, text
 
 
 def run_counts(texts: DataFrame) -> np.ndarray:
@@ -300,7 +312,8 @@ def removed_words(blobs: list[bytes]) -> np.ndarray:
     whole = np.flatnonzero(text[:n] == text[WINDOW - 1 :])
     starts, ends = words.starts[whole], words.ends[whole + WINDOW - 1]
     flat = words.flat.tobytes()
-    group = _equal_groups(flat, starts, ends, _span_hashes(words.flat, starts, ends))
+    hashes = _sequence_hashes(_word_hashes(words.flat, words.starts, words.ends), WINDOW)
+    group = _equal_groups(flat, starts, ends, hashes[whole])
     doc = places[np.cumsum(repeats) - 1, 0]  # all places of a string are of one document
     own = doc[text[whole]]
     least = np.full(int(group.max()) + 1, np.iinfo(np.int64).max)
