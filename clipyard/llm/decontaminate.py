@@ -138,3 +138,13 @@ def find_contained(
         .filter(F.col("n_shared") >= F.lit(threshold) * F.col("n_shingles") - 1e-9)
         .select("doc_id", "row_key", "item_id", "n_shared", "n_shingles", "containment")
     )
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` (``doc_id, text, ...``) that hold no item."""
+    found = find_contained(docs, items, threshold).select("doc_id", "row_key").distinct()
+    found = materialize(found, "contaminated").toDF("_id", "_key")
+    keyed = docs.withColumn("_row_key", F.xxhash64("text"))
+    same = keyed["doc_id"].eqNullSafe(found["_id"]) & (keyed["_row_key"] == found["_key"])
+    # The list is stored: where its files are small it is broadcast and no text moves.
+    return keyed.join(found, same, "left_anti").select(*[keyed[c] for c in docs.columns])

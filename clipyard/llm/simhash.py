@@ -22,7 +22,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -250,17 +250,19 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, parts: int = PARTS) -> Dat
     return asked.join(stored, on & near & (F.col("a") < F.col("b"))).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, parts: int = PARTS) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row of ``docs``.
+def grouped_rows(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, parts: int = PARTS
+) -> DataFrame:
+    """``doc_id, row_key, fp, component, component_id`` for every row of ``docs``.
 
-    ``component_id`` is the smallest id reachable over links of ``max_bits`` or fewer
-    bits; equal fingerprints are linked. A null text counts as empty, texts without
-    words share fingerprint zero and are linked like any other. Ids may repeat; a null
-    id is never the smallest (a component of null ids only has a null id). Other
-    columns are ignored. An empty table gives no rows.
+    ``row_key`` is ``xxhash64`` of the text, ``component`` a fingerprint of the group that
+    names it, ``component_id`` its smallest id.
     """
     prints = materialize(
-        docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col)).alias("fp")), "simhash"
+        docs.select(
+            F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("row_key"), fingerprint(F.col(text_col)).alias("fp")
+        ),
+        "simhash",
     )
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash_nodes")
     found = components(links(nodes, max_bits, parts)).toDF("fp", "component")
@@ -269,6 +271,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "simhash_groups",
     )
     smallest = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = grouped.join(smallest, "component").select("fp", "component_id")
+    named = grouped.join(smallest, "component").select("fp", "component", "component_id")
     # A fingerprint with a third of the rows is split by the adaptive skew join.
-    return prints.join(named, "fp", "left").select("doc_id", "fp", "component_id")
+    return prints.join(named, "fp", "left").select("doc_id", "row_key", "fp", "component", "component_id")
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, parts: int = PARTS
+) -> DataFrame:
+    """``doc_id, fp, component_id`` for every row of ``docs``.
+
+    ``component_id`` is the smallest id reachable over links of ``max_bits`` or fewer
+    bits; equal fingerprints are linked. A null text counts as empty, texts without
+    words share fingerprint zero and are linked like any other. Ids may repeat; a null
+    id is never the smallest (a component of null ids only has a null id). Other
+    columns are ignored. An empty table gives no rows.
+    """
+    return grouped_rows(docs, id_col, text_col, max_bits, parts).select("doc_id", "fp", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, max_bits: int = MAX_BITS, parts: int = PARTS) -> DataFrame:
+    """The rows of ``docs`` (``doc_id, text, ...``) without near-duplicates: of each group
+    the one with the smallest id, then the smallest ``xxhash64`` of its text; one of rows
+    that repeat both. A null id comes after all others."""
+    rows = grouped_rows(docs, max_bits=max_bits, parts=parts)
+    first = rows.groupBy("component").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "row_key")).alias("k"))
+    kept = materialize(first.select(_id_key("k.doc_id"), F.col("k.row_key").alias("_row_key")), "kept_rows")
+    keyed = docs.select("*", _id_key("doc_id"), F.xxhash64("text").alias("_row_key"))
+    keys = ["_id_key", "_row_key"]
+    # Joined and numbered on the same keys: the texts are shuffled once.
+    once = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    left = keyed.join(kept, keys, "left_semi").withColumn("_once", once)
+    return left.filter("_once = 1").select(*[left[c] for c in docs.columns])
+
+
+def _id_key(column: str) -> Column:
+    """An id that can be joined on; null goes behind all others."""
+    return F.coalesce(F.col(column).cast("bigint"), F.lit((1 << 63) - 1)).alias("_id_key")
