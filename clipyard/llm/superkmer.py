@@ -17,14 +17,14 @@ one such string a batch, however many documents share it.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clipyard.session import materialize
 
 WINDOW = 13
-RUN = 4
+RUN = 2
 CELLS = 1 << 16
 #: Text handled at once, and text whose super-k-mers are combined before they are sent.
 SLICE_BYTES = 1 << 20
@@ -32,6 +32,8 @@ BATCH_BYTES = 6 << 20
 #: Packed bytes a bucket is meant to hold.
 BUCKET_BYTES = 8 << 20
 _CHUNK = 1 << 16  # words hashed at once
+#: Blobs travel once and are large against other shuffles: a slower, denser level pays.
+_LEVEL = 6
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -135,23 +137,25 @@ def _runs(words: Words):
     return runs, whole, text
 
 
-def run_counts(texts: DataFrame) -> np.ndarray:
-    """Runs of all documents by the cell of their hash: ``CELLS`` counters in all."""
+def run_counts(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """Runs of all documents by the cell of their hash, ``CELLS`` counters in all, and
+    the bytes of their words."""
 
     def tally(batches):
-        cells = np.zeros(CELLS, np.int64)
+        cells = np.zeros(CELLS + 1, np.int64)
         for batch in batches:
             for _, words in _slices(batch.column(0), SLICE_BYTES):
+                cells[CELLS] += len(words.flat)
                 runs, whole, _ = _runs(words)
-                cells += np.bincount((runs[whole] % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+                cells += np.bincount((runs[whole] % np.uint64(CELLS)).astype(np.int64), minlength=CELLS + 1)
         used = np.flatnonzero(cells)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(cells[used])], ["cell", "n"])
 
-    counts = np.zeros(CELLS, np.int64)
+    counts = np.zeros(CELLS + 1, np.int64)
     found = texts.mapInArrow(tally, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
-    for cell, n in found.collect():  # CELLS rows at most
+    for cell, n in found.collect():  # CELLS + 1 rows at most
         counts[cell] = n
-    return counts
+    return counts[:CELLS], int(counts[CELLS])
 
 
 def rank_table(counts: np.ndarray) -> np.ndarray:
@@ -190,15 +194,31 @@ def _send(entries, buckets):
 
     ``entries``: packed string -> (bucket, document, [(document key, row key, word, windows)]).
     """
+    codec = pa.Codec("zstd", compression_level=_LEVEL)
     by_bucket: dict[int, list] = {}
     for packed, (bucket, _, places) in entries.items():
         by_bucket.setdefault(bucket, []).append((packed, places))
     for bucket, rows in by_bucket.items():
         places = np.array([p for _, own in rows for p in own], np.int64)
         repeats = np.array([len(own) for _, own in rows], np.int64)
-        head = np.concatenate([[len(rows), len(places)], repeats, places.ravel()]).astype(np.int64)
+        # By column: numbers of one kind side by side compress better.
+        head = np.concatenate([[len(rows), len(places)], repeats, places.T.ravel()]).astype(np.int64)
         blob = head.tobytes() + b"\n".join(packed for packed, _ in rows)
-        yield bucket, len(blob), pa.compress(blob, "zstd", asbytes=True)
+        yield bucket, len(blob), codec.compress(blob, asbytes=True)
+
+
+def _merged(ranges: np.ndarray) -> np.ndarray:
+    """Ranges of one document that overlap or touch, as one."""
+    ranges = ranges[np.lexsort((ranges[:, 2], ranges[:, 1], ranges[:, 0]))]
+    same = np.zeros(len(ranges), bool)
+    same[1:] = (ranges[1:, :2] == ranges[:-1, :2]).all(axis=1)
+    out: list[list[int]] = []
+    for (doc, key, word, n), joins in zip(ranges.tolist(), same.tolist()):
+        if joins and word <= out[-1][2] + out[-1][3]:
+            out[-1][3] = max(out[-1][3], word + n - out[-1][2])
+        else:
+            out.append([doc, key, word, n])
+    return np.array(out, np.int64)
 
 
 _SENT = "bucket bigint, size bigint, blob binary, doc_id bigint, row_key bigint, word bigint, words bigint"
@@ -227,7 +247,7 @@ def _pack(ranks: np.ndarray, buckets: int):
                 schema=schema,
             )
         if removed:
-            known = np.array(removed, np.int64)
+            known = _merged(np.array(removed, np.int64))
             # They need no bucket; any will do, and these are spread evenly.
             to = (_mix(known[:, 0].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
             columns = [pa.array(to), pa.nulls(len(to), pa.int64()), pa.nulls(len(to), pa.binary())]
@@ -275,7 +295,7 @@ def _unpack(blobs: list[bytes]):
     for blob in blobs:
         n, m = np.frombuffer(blob, np.int64, 2)
         repeats.append(np.frombuffer(blob, np.int64, n, 16))
-        places.append(np.frombuffer(blob, np.int64, 4 * m, 16 + 8 * n).reshape(m, 4))
+        places.append(np.frombuffer(blob, np.int64, 4 * m, 16 + 8 * n).reshape(4, m).T)
         strings.append(blob[16 + 8 * n + 32 * m :])
     text = b"\n".join(strings)
     data = np.frombuffer(text, np.uint8)
@@ -401,10 +421,9 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.xxhash64(text_col).alias("row_key"),
         F.col(text_col).cast("string").alias("text"),
     ).filter("doc_id is not null and text is not null")
-    seen = Observation()
-    counts = run_counts(rows.select("text").observe(seen, F.sum(F.octet_length("text")).alias("bytes")))
+    counts, size = run_counts(rows.select("text"))
     ranks = rank_table(counts)
-    sent = 3 * (seen.get["bytes"] or 0)
+    sent = 3 * size
     buckets = max(1, -(-sent // BUCKET_BYTES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # Pruned scans are dealt in file order, so a batch holds neighbouring documents.
     packed = rows.mapInArrow(_pack(ranks, buckets), _SENT)
