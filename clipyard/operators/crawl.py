@@ -6,7 +6,7 @@ written to the shared folder, so lineage stays one round long and a lost executo
 re-reads a file.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipyard.operators import extract as ex
@@ -25,6 +25,8 @@ HOT_PAGES = 1000
 SALTS = 64
 
 TASK = ["url", "doc_type"]
+#: Paths multiply from level to level: 38 digits hold ten levels of 6,000 links each.
+VISITS = "decimal(38,0)"
 
 
 def child_tasks(parents: DataFrame, link: str, max_depth: int = MAX_DEPTH, *keep) -> DataFrame:
@@ -100,7 +102,7 @@ def _expand(keyed: _Edges, seeds: DataFrame, max_depth: int, dedup: bool) -> Dat
     spark = keyed.spark
     seeds, seed_rows = materialize_counted(seeds.filter("url IS NOT NULL"), "seeds")
     last_seed = seeds.agg(F.max("depth")).first()[0] if seed_rows else -1
-    one = F.lit(1).cast("bigint")
+    one = F.lit(1).cast(VISITS)
     paths, level, reached = [], None, None
     for depth in range(max_depth + 1):
         tasks = None
@@ -111,7 +113,7 @@ def _expand(keyed: _Edges, seeds: DataFrame, max_depth: int, dedup: bool) -> Dat
             tasks = tasks.unionByName(links) if tasks is not None else links
         if tasks is None:
             break
-        tasks = tasks.filter("url IS NOT NULL").groupBy(*TASK).agg(F.sum("visits").alias("visits"))
+        tasks = tasks.filter("url IS NOT NULL").groupBy(*TASK).agg(F.sum("visits").cast(VISITS).alias("visits"))
         if dedup:
             tasks = tasks.withColumn("visits", one)
             if reached is not None:
@@ -131,6 +133,14 @@ def _expand(keyed: _Edges, seeds: DataFrame, max_depth: int, dedup: bool) -> Dat
     return reached
 
 
+def latest_snapshots(pages: DataFrame, version: str | None = None) -> DataFrame:
+    """One snapshot per url: the newest ``version``, ties by a hash of the page."""
+    newest = [F.desc_nulls_last(version)] if version else []
+    order = Window.partitionBy("url").orderBy(*newest, F.xxhash64("html"))
+    ranked = pages.filter("url IS NOT NULL").withColumn("_rank", F.row_number().over(order))
+    return ranked.filter("_rank = 1").drop("_rank")
+
+
 def crawl(
     pages: DataFrame,
     seeds: DataFrame,
@@ -138,12 +148,14 @@ def crawl(
     dedup: bool = True,
     sep: str = "",
     resolve: bool = False,
+    version: str | None = None,
 ):
     """Crawl page snapshots (``url, html``) from the seeds.
 
-    Returns ``(reached, articles)``: the visited tasks and the extracted articles
+    Of several snapshots of a url the latest by the column ``version`` counts. Returns ``(reached, articles)``: the visited tasks and the extracted articles
     of the reached pages, with the depth they were found at.
     """
+    pages = latest_snapshots(pages, version)
     listings = seeds.filter(F.col("doc_type") == ex.LISTING).select("url").distinct()
     snapshots = (
         pages.select("url", F.lit(ex.ARTICLE).alias("doc_type"), "html")

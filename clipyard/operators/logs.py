@@ -48,11 +48,14 @@ def route_by_severity(events: DataFrame, level: str = "level") -> DataFrame:
     )
 
 
-def with_daily_index(events: DataFrame, ts: str = "ts") -> DataFrame:
-    """Add ``index_name``, one index per day."""
-    return events.withColumn(
-        "index_name", F.concat(F.lit(INDEX_PREFIX), F.date_format(ts, INDEX_DAY))
-    )
+def with_daily_index(events: DataFrame, ts: str = "ts", arrival: Column | None = None) -> DataFrame:
+    """Add ``index_name``, one index per day.
+
+    An event without a time of its own (a line that does not parse) goes to the day of
+    ``arrival``; without that its index stays null.
+    """
+    day = F.col(ts) if arrival is None else F.coalesce(ts, arrival)
+    return events.withColumn("index_name", F.concat(F.lit(INDEX_PREFIX), F.date_format(day, INDEX_DAY)))
 
 
 def expired(prefix: str, as_of, days: int, name="index_name", created="created") -> Column:

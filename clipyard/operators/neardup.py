@@ -51,14 +51,19 @@ BUCKET_TARGET_BITS = 8
 MAX_BANDS_PER_KEY = 4
 
 
-def signature_groups(docs: DataFrame, key: str, mode: str = "exact") -> DataFrame:
+def signature_groups(docs: DataFrame, key: str, mode: str = "lsh") -> DataFrame:
     """One row per distinct signature: ``sig_hi, sig_lo, rep, copies``.
 
-    For ``lsh`` also ``bands``, the band keys of the representative's minima.
+    For ``lsh`` also ``bands``, the distinct ``band, key`` of all members: equal bits do
+    not mean equal minima, and each member may have bands of its own.
     """
     totals = [F.min(key).alias("rep"), F.count(F.lit(1)).alias("copies")]
     if mode == "lsh":
-        totals.append(F.min_by(lsh_keys(F.col("minhash")), F.col(key)).alias("bands"))
+        # Copies have equal minima and are one element of the set, combined before the shuffle.
+        keyed = F.transform(
+            lsh_keys(F.col("minhash")), lambda k, band: F.struct(band.alias("band"), k.alias("key"))
+        )
+        totals.append(F.array_distinct(F.flatten(F.collect_set(keyed))).alias("bands"))
     return docs.groupBy("sig_hi", "sig_lo").agg(*totals)
 
 
@@ -193,7 +198,7 @@ def bucket_pairs(keyed: DataFrame, max_differing: int, block_rows: int = BLOCK_R
 
 def similar_groups(
     groups: DataFrame,
-    mode: str = "exact",
+    mode: str = "lsh",
     threshold: float = SIMILARITY_THRESHOLD,
     rows: int | None = None,
     per_key: int | None = None,
@@ -207,15 +212,15 @@ def similar_groups(
     limit = max_differing_bits(threshold)
     head = ["rep", "copies", "sig_hi", "sig_lo"]
     if mode == "lsh":
-        keys, canonical = F.col("bands"), None
+        keyed, canonical = groups.select(*head, F.inline("bands")), None
     elif mode == "exact":
         per_key = per_key or bands_per_key(rows or groups.count(), limit)
         bands = limit + per_key
         keys = exact_keys(F.col("sig_hi"), F.col("sig_lo"), bands, per_key)
+        keyed = groups.select(*head, F.posexplode(keys).alias("band", "key"))
         canonical = _first_shared_key(bands, per_key)
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    keyed = groups.select(*head, F.posexplode(keys).alias("band", "key"))
     pairs = bucket_pairs(keyed, limit, block_rows)
     columns = ["rep_a", "rep_b", "copies_a", "copies_b", "differing_bits"]
     if canonical is not None:

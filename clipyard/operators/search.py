@@ -1,6 +1,6 @@
 """Keyword search, exact terms, counts and match-all over an articles table."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipyard.functions.columns import with_once
@@ -100,6 +100,28 @@ def similar_to(df: DataFrame, sketch: str, query: DataFrame, k=DEFAULT_HITS, key
     )
 
 
+def similar_to_each(
+    df: DataFrame, sketch: str, queries: DataFrame, query_key: str, text: str, k=DEFAULT_HITS, key="doc_key"
+) -> DataFrame:
+    """``similar_to`` for every text of ``queries``: top ``k`` documents each.
+
+    Sketches meet in an equi-join on (bucket, value): small query tables are broadcast by
+    their size, larger ones shuffled with frequent values split as skewed keys. Ranks
+    are cut to ``k`` rows per query in each task before they are shuffled.
+    """
+    dense = F.posexplode(rotate(bucket_minima(F.col(text)))).alias("bucket", "value")
+    asked = queries.select(F.col(query_key).alias("_query"), dense)
+    held = df.select(F.col(key).alias("_doc"), F.posexplode(sketch).alias("bucket", "value"))
+    shared = (
+        held.join(asked, ["bucket", "value"])
+        .groupBy("_query", "_doc")
+        .agg(F.count(F.lit(1)).cast("int").alias("shared_buckets"))
+    )
+    order = Window.partitionBy("_query").orderBy(F.desc("shared_buckets"), "_doc")
+    best = shared.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= k)
+    return best.select(F.col("_query").alias(query_key), F.col("_doc").alias(key), "shared_buckets")
+
+
 def term(df: DataFrame, field: str, value, k: int = DEFAULT_HITS, key="doc_key") -> DataFrame:
     """First ``k`` documents whose field equals ``value`` exactly (not analysed)."""
     return df.filter(F.col(field) == F.lit(value)).orderBy(key).limit(k)

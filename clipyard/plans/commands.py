@@ -34,11 +34,10 @@ def count_field(command: str) -> str:
     return COUNT_COMMANDS.get(command, search.DEFAULT_AGGREGATION_FIELD)
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_key", mode: str = "exact", topic: str = "topic"):
+def near_duplicates(docs: DataFrame, key: str = "doc_key", mode: str = "lsh", topic: str = "topic"):
     """Similar groups of a signed articles table, with the topic of each side."""
-    rows = docs.count()
     groups = materialize(neardup.signature_groups(docs, key, mode), "groups")
-    pairs = neardup.similar_groups(groups, mode, rows=rows)
+    pairs = neardup.similar_groups(groups, mode)
     names = docs.select(key, topic)
     for side in "ab":
         named = names.select(F.col(key).alias(f"rep_{side}"), F.col(topic).alias(f"topic_{side}"))
@@ -46,17 +45,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_key", mode: str = "exact",
     return pairs
 
 
-def run_command(articles: DataFrame, code: int, argument: str = "", key: str = "doc_key") -> DataFrame:
+def run_command(
+    articles: DataFrame, code: int, argument: str = "", key: str = "doc_key", mode: str = "lsh"
+) -> DataFrame:
     """Answer a query command over a signed articles table.
 
-    ``argument`` is the query text of a match and the command name of a count.
+    ``argument`` is the query text of a match and the command name of a count; ``mode`` is that of the
+    near-duplicate search.
     """
     if code == INDEX:
         raise ValueError("code 0 carries an article: write it with sinks.articles")
     if code == MATCH_AUTHOR:
         return search.match(articles, "author", argument, key=key)
     if code == NEAR_DUPLICATES:
-        return near_duplicates(articles, key)
+        return near_duplicates(articles, key, mode)
     if code == MATCH_TOPIC:
         return search.match(articles, "topic", argument, key=key)
     if code == MATCH_URL:

@@ -119,7 +119,7 @@ for _name in ("tokens", "grams", "shingle_hashes", "used", "grid", "dense"):
         f"FROM {_name}", f"FROM q_{_name}"
     ).replace(f"JOIN {_name}", f"JOIN q_{_name}")
 QUERY_SKETCH = QUERY_SKETCH.replace(
-    "FROM documents", "FROM (SELECT item_id AS doc_id, text FROM benchmark ORDER BY item_id LIMIT 1)"
+    "FROM documents", "FROM (SELECT item_id AS doc_id, text FROM benchmark)"
 )
 
 # Pages in the site's layout: what extraction must find in them.
@@ -174,7 +174,7 @@ LINES = """
 lines AS (
   SELECT event_id, ts, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS stamp,
          CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'click' THEN 'WARN' ELSE 'INFO' END AS level,
-         'user-' || user_id AS thread, 'clipyard.events.Coll' AS class,
+         right('user-' || user_id, 10) AS thread, right('clipyard.events.Collector', 20) AS class,
          (event_id % 1000)::VARCHAR AS line_no,
          event_type || ' ' || value::DECIMAL(18,2) AS message
   FROM events),
@@ -224,17 +224,15 @@ SELECT {INDEX_VIEW} FROM sent JOIN signed USING (doc_id)""",
 SELECT pairs.*, 1 - differing_bits / 128.0::DOUBLE AS similarity, a.topic AS topic_a, b.topic AS topic_b
 FROM pairs JOIN articles a ON a.doc_id = rep_a JOIN articles b ON b.doc_id = rep_b""",
     "near_duplicates_lsh": f"""WITH {SIGNED},
-groups AS (
-  SELECT bits, arg_min(minhash, doc_id) AS minhash, min(doc_id) AS rep, count(*) AS copies
-  FROM signed GROUP BY bits)
-SELECT a.rep AS rep_a, b.rep AS rep_b, a.copies AS copies_a, b.copies AS copies_b,
+groups AS (SELECT bits, min(doc_id) AS rep, count(*) AS copies FROM signed GROUP BY bits),
+banded AS (
+  SELECT DISTINCT rep, copies, bits, k, minhash[4*k+1:4*k+4] AS band
+  FROM signed JOIN groups USING (bits), range(32) r(k))
+SELECT DISTINCT a.rep AS rep_a, b.rep AS rep_b, a.copies AS copies_a, b.copies AS copies_b,
        hamming(a.bits, b.bits)::INTEGER AS differing_bits,
        1 - hamming(a.bits, b.bits) / 128.0::DOUBLE AS similarity
-FROM groups a JOIN groups b ON a.rep < b.rep
-WHERE hamming(a.bits, b.bits) <= 12
-  AND len(list_filter(range(32), lambda k:
-        a.minhash[4*k+1] = b.minhash[4*k+1] AND a.minhash[4*k+2] = b.minhash[4*k+2] AND
-        a.minhash[4*k+3] = b.minhash[4*k+3] AND a.minhash[4*k+4] = b.minhash[4*k+4])) > 0""",
+FROM banded a JOIN banded b ON a.k = b.k AND a.band = b.band AND a.rep < b.rep
+WHERE hamming(a.bits, b.bits) <= 12""",
     "near_duplicate_counts": f"""WITH {SIGNED}, {GROUPS},
 similar_docs AS (
   SELECT a.doc_id, count(*) - 1 AS similar_docs
@@ -256,10 +254,12 @@ sketch AS (SELECT doc_id, md5(string_agg(v::VARCHAR, ',' ORDER BY b)) AS sketch_
 counts AS (SELECT doc_id, count(*)::INTEGER AS used_buckets FROM used GROUP BY doc_id)
 SELECT doc_id, coalesce(used_buckets, 0)::INTEGER AS used_buckets, coalesce(sketch_md5, md5('')) AS sketch_md5
 FROM documents LEFT JOIN sketch USING (doc_id) LEFT JOIN counts USING (doc_id)""",
-    "similar_to": f"""WITH {SKETCHES}, {QUERY_SKETCH}
-SELECT d.doc_id, count(*)::INTEGER AS shared_buckets
-FROM dense d JOIN q_dense q ON d.b = q.b AND d.v = q.v
-GROUP BY d.doc_id ORDER BY shared_buckets DESC, d.doc_id LIMIT 10""",
+    "similar_to": f"""WITH {SKETCHES}, {QUERY_SKETCH},
+shared AS (
+  SELECT q.doc_id AS item_id, d.doc_id, count(*)::INTEGER AS shared_buckets
+  FROM dense d JOIN q_dense q ON d.b = q.b AND d.v = q.v GROUP BY ALL)
+SELECT item_id, doc_id, shared_buckets FROM shared
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY shared_buckets DESC, doc_id) <= 10""",
     "page_articles": "SELECT url, regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1) AS topic FROM pages",
     "page_decode": "SELECT url, html FROM pages",
     "page_links": """SELECT url, unnest(regexp_extract_all(html, '<a [^>]*?href="([^"]*)"', 1)) AS link FROM pages""",
@@ -326,7 +326,15 @@ WHERE index_name LIKE 'logstash-2024.01.1%' GROUP BY index_name""",
     "log_retention": f"""WITH {INDEXED}
 SELECT * FROM indexed
 WHERE NOT (index_name LIKE 'logstash-%' AND created < TIMESTAMP '2024-01-30' - INTERVAL 2 DAY)""",
+    "log_drop_expired": f"""WITH {INDEXED}
+SELECT index_name, count(*) AS events FROM indexed
+WHERE NOT (index_name LIKE 'logstash-%' AND created < TIMESTAMP '2024-01-30' - INTERVAL 2 DAY)
+GROUP BY index_name""",
+    "log_text_scan": f"WITH {LINES} SELECT level, class, count(*) AS events FROM formatted GROUP BY ALL",
     "stream_index": UPSERT,
+    "stream_after_batch": f"""WITH {MESSAGES}
+SELECT doc_key, 2 * count(*) + 1 AS rows, max(seq) AS seq FROM sent GROUP BY doc_key""",
+    "declared_table": "SELECT source AS author, count(*) AS articles FROM documents GROUP BY source",
     "stream_logs": f"WITH {LINES} SELECT sink, day, line FROM routed",
     "stream_daily_index": f"""WITH {LINES}
 SELECT 'logstash-' || strftime(ts, '%Y.%m.%d') AS index_name, level, count(*) AS events

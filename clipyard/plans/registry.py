@@ -1,5 +1,7 @@
 """The registered queries: one function per operator, over the given tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from clipyard.functions.keys import doc_key
@@ -129,7 +131,7 @@ def minhash_bits(spark, sf):
 
 def near_duplicates(spark, sf):
     stored = materialize(derived.signed(_articles(spark, sf), "filling", "topic"), "signed")
-    return commands.near_duplicates(stored, "doc_id")
+    return commands.near_duplicates(stored, "doc_id", mode="exact")
 
 
 def _stored_groups(spark, sf, mode):
@@ -145,7 +147,7 @@ def near_duplicates_lsh(spark, sf):
 
 def near_duplicate_counts(spark, sf):
     stored, groups = _stored_groups(spark, sf, "exact")
-    pairs = neardup.similar_groups(groups, "exact", rows=stored.count())
+    pairs = neardup.similar_groups(groups, "exact")
     counted = neardup.near_duplicate_counts(stored, "doc_id", groups, pairs)
     return counted.select("doc_id", "group_rep", "copies", "similar_docs")
 
@@ -153,7 +155,7 @@ def near_duplicate_counts(spark, sf):
 def near_duplicates_of_labelled(spark, sf):
     """The groups similar to the documents labelled toxic."""
     stored, groups = _stored_groups(spark, sf, "exact")
-    pairs = neardup.similar_groups(groups, "exact", rows=stored.count())
+    pairs = neardup.similar_groups(groups, "exact")
     toxic = table(spark, sf, "labels").filter("toxic = 1")
     return neardup.similar_to_chosen(stored, "doc_id", groups, pairs, toxic)
 
@@ -181,11 +183,10 @@ def bucket_minima_512(spark, sf):
 
 
 def similar_to(spark, sf):
-    passages = table(spark, sf, "benchmark")
-    first = passages.orderBy("item_id").limit(1).select("text")
+    """The ten most similar documents of every benchmark passage."""
     sketched = derived.sketched(_texts(spark, sf))
-    hits = search.similar_to(sketched, "sketch", first, key="doc_id")
-    return hits.select("doc_id", "shared_buckets")
+    passages = table(spark, sf, "benchmark")
+    return search.similar_to_each(sketched, "sketch", passages, "item_id", "text", key="doc_id")
 
 
 # Extraction ----------------------------------------------------------------------------
@@ -262,7 +263,8 @@ def crawl_frontier(spark, sf):
 
 
 def crawl_revisits(spark, sf):
-    return _frontier(spark, sf, dedup=False).select("page_id", "depth", "visits")
+    reached = _frontier(spark, sf, dedup=False)
+    return reached.select("page_id", "depth", F.col("visits").cast("bigint").alias("visits"))
 
 
 def crawl_articles(spark, sf):
@@ -324,6 +326,35 @@ def log_retention(spark, sf):
     return log_ops.retain(derived.indexed_events(table(spark, sf, "events")), AS_OF)
 
 
+def log_drop_expired(spark, sf):
+    """What is left of a table of daily indices after its expired ones are dropped."""
+    name = "daily_" + uuid.uuid4().hex
+    root = _index_root(spark, sf)
+    spark.sql(f"CREATE TABLE {name} (event_id BIGINT, created TIMESTAMP_NTZ, index_name STRING) USING parquet "
+              f"PARTITIONED BY (index_name) LOCATION '{root}'")
+    try:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        log_sinks.drop_expired(spark, name, AS_OF)
+        left = spark.table(name).groupBy("index_name").agg(F.count(F.lit(1)).alias("events"))
+        return materialize(left, "left-indices")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def log_text_scan(spark, sf):
+    """Log lines written as text, read back as a stream of text files and parsed."""
+    folder = scratch_path(spark, "log-text")
+    lines = derived.log_lines(spread(table(spark, sf, "events"), "event_id"))
+    lines.select("value").write.text(folder)
+    path = scratch_path(spark, "log-rows")
+    stream = log_sources.parse_lines(log_sources.line_stream(spark, folder), "value")
+    query = stream.writeStream.format("parquet").option("path", path)
+    query = query.option("checkpointLocation", scratch_path(spark, "stream-state"))
+    query.trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.parquet(path)
+    return rows.groupBy("level", "class").agg(F.count(F.lit(1)).alias("events"))
+
+
 # Streams -------------------------------------------------------------------------------------
 def _stream(spark, sf, name):
     schema = table(spark, sf, name).schema
@@ -338,6 +369,34 @@ def stream_index(spark, sf):
     return _index_view(article_table.latest(article_table.read_all(spark, path)))
 
 
+def stream_after_batch(spark, sf):
+    """A batch job and a new stream write batch 0 of one table; compaction comes between."""
+    first, second = scratch_path(spark, "articles"), scratch_path(spark, "articles")
+    decoded = inbox.index_messages(derived.index_messages(_texts(spark, sf)), "seq")
+    article_table.append_batch(inbox.articles_to_index(decoded), first, 0)
+    article_table.compact(spark, first, second)
+    messages = derived.index_messages(_stream(spark, sf, "documents"))
+    for _ in range(2):  # the second stream has a checkpoint of its own
+        state = scratch_path(spark, "stream-state")
+        index_stream.start_indexing(messages, second, state).awaitTermination()
+    rows = article_table.read_all(spark, second)
+    return rows.groupBy("doc_key").agg(F.count(F.lit(1)).alias("rows"), F.max("seq").alias("seq"))
+
+
+def declared_table(spark, sf):
+    """The articles table declared with its columns and read by name."""
+    name, path = "articles_" + uuid.uuid4().hex, scratch_path(spark, "articles")
+    article_table.append_batch(derived.articles(table(spark, sf, "documents")).withColumn("seq", F.col("doc_id")), path, 0)
+    try:
+        for _ in range(2):  # an existing table is kept
+            article_table.create_if_absent(spark, name, path)
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        counts = spark.table(name).groupBy("author").agg(F.count(F.lit(1)).alias("articles"))
+        return materialize(counts, "declared")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def _run_log_stream(spark, sf, start):
     lines = derived.log_lines(_stream(spark, sf, "events"))
     path = scratch_path(spark, "stream-logs")
@@ -403,7 +462,11 @@ QUERIES = {
     "index_pattern_scan": index_pattern_scan,
     "all_index_count": all_index_count,
     "log_retention": log_retention,
+    "log_drop_expired": log_drop_expired,
+    "log_text_scan": log_text_scan,
     "stream_index": stream_index,
+    "stream_after_batch": stream_after_batch,
+    "declared_table": declared_table,
     "stream_logs": stream_logs,
     "stream_daily_index": stream_daily_index,
 }

@@ -36,6 +36,7 @@ def drop_expired(
     day = F.regexp_replace(F.expr(f"substring(index_name, {len(prefix) + 1})"), "\\.", "-")
     dated = listed.withColumn("created", day.try_cast("timestamp_ntz"))
     names = [r[0] for r in dated.filter(expired(prefix, as_of, days)).select("index_name").collect()]
-    for name in names:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (index_name = '{name}')")
+    if names:  # one statement, one change of the table
+        parts = ", ".join(f"PARTITION (index_name = '{name}')" for name in names)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
     return names

@@ -23,10 +23,10 @@ JSON_TAG = "docker-elk"
 
 
 def format_line(ts, level, thread, klass, line_no, message) -> Column:
-    """A log line in the fixed layout (longer fields are cut to width)."""
+    """A log line in the fixed layout; a longer field keeps its end, as loggers cut names."""
 
     def fit(name, column):
-        return F.rpad(column, LAYOUT[name][1], " ")
+        return F.rpad(F.right(column, F.lit(LAYOUT[name][1])), LAYOUT[name][1], " ")
 
     place = F.concat(fit("class", klass), F.lit(":"), fit("line_no", line_no))
     head = [F.date_format(ts, TIMESTAMP_FORMAT), fit("level", level), fit("thread", thread)]

@@ -1,14 +1,21 @@
 """Continuous log ingest: daily index of every line, severity files of parsed ones."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from clipyard.operators.logs import route_by_severity, with_daily_index
 from clipyard.sources.logs import parse_lines
 
 
+#: Tasks that may write to one folder in a micro-batch.
+LANES = 4
+
+
 def _start(rows: DataFrame, path: str, checkpoint: str, by: list[str], trigger: dict):
+    # Rows of a folder go to a few tasks, so a micro-batch writes a few files to each.
+    lane = F.pmod(F.xxhash64("line"), F.lit(LANES))
     return (
-        rows.writeStream.format("parquet")
+        rows.repartition(*by, lane).writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .partitionBy(*by)
@@ -26,7 +33,7 @@ def start_severity_files(lines: DataFrame, path: str, checkpoint: str, line="val
 
 
 def start_daily_indices(lines: DataFrame, path: str, checkpoint: str, line="value", **trigger):
-    """Write a stream of lines to daily indices."""
-    return _start(
-        with_daily_index(parse_lines(lines, line)), path, checkpoint, ["index_name"], trigger
-    )
+    """Write a stream of lines to daily indices; lines that do not parse by arrival."""
+    arrival = F.current_timestamp().cast("timestamp_ntz")
+    rows = with_daily_index(parse_lines(lines, line), arrival=arrival)
+    return _start(rows, path, checkpoint, ["index_name"], trigger)

@@ -43,8 +43,8 @@ def test_messages(spark):
 def test_append_keeps_all_and_upsert_the_latest(spark):
     path = scratch_path(spark, "t")
     rows = articles_to_index(decoded(spark, MESSAGES[:5]))
-    table.append_batch(rows, path, 0)
-    table.append_batch(rows, path, 0)  # a retried batch replaces itself
+    writer = table.append_batch(rows, path, 0)
+    table.append_batch(rows, path, 0, writer)  # a retried batch replaces itself
     assert [s for s, _, _ in view(table.read_all(spark, path))] == [1, 2, 3, 4]
     want = [(2, "b", "body"), (3, "a", "body"), (4, "a", "changed")]
     assert view(table.latest(table.read_all(spark, path))) == want
@@ -87,6 +87,28 @@ def test_stream_equals_batch_and_restarts_cleanly(spark):
     assert view(table.latest(run(), key="url")) == [(2, "b", "body"), (9, "a", "body")]
 
 
+def test_writers_never_replace_each_other(spark):
+    folder, path = scratch_path(spark, "in"), scratch_path(spark, "t")
+    table.append_batch(articles_to_index(decoded(spark, MESSAGES[:4])), path, 0)
+    write_file(spark, folder, [message(20, "z")])
+    source = spark.readStream.schema("seq long, value string").parquet(folder)
+    for expected in (5, 6):  # the second checkpoint starts at batch 0 again
+        start_indexing(source, path, scratch_path(spark, "state")).awaitTermination()
+        assert table.read_all(spark, path).count() == expected
+    compacted = scratch_path(spark, "compacted")
+    table.compact(spark, path, compacted)
+    start_indexing(source, compacted, scratch_path(spark, "state")).awaitTermination()
+    assert table.read_all(spark, compacted).count() == 4 + 1
+    assert table.latest(table.read_all(spark, compacted)).count() == 4
+
+
+def test_equal_sequence_numbers_give_one_stable_row(spark):
+    rows = spark.createDataFrame([("k", 1, "a"), ("k", 1, "b"), ("k", 0, "c"), (None, 2, "d"), (None, 1, "e")], "key string, seq long, v string")
+    found = sorted(map(tuple, table.latest(rows, "key").collect()), key=str)
+    again = sorted(map(tuple, table.latest(rows.orderBy("v").repartition(3), "key").collect()), key=str)
+    assert found == again and len(found) == 2 and found[-1][1] in (1, 2)
+
+
 @pytest.mark.parametrize("mode", ["append"])
 def test_routing(spark, mode):
     rows = [("a", "1"), ("b", "2"), ("c", "3"), (None, "4")]

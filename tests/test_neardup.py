@@ -35,7 +35,7 @@ def case(request, spark):
     values = random_signatures(request.param)
     rows = [(i, signed_long(v >> 64), signed_long(v & (2**64 - 1))) for i, v in enumerate(values)]
     docs = spark.createDataFrame(rows, "doc_id long, sig_hi long, sig_lo long").cache()
-    return values, docs, neardup.signature_groups(docs, "doc_id").cache()
+    return values, docs, neardup.signature_groups(docs, "doc_id", "exact").cache()
 
 
 def expected_pairs(values):
@@ -50,7 +50,7 @@ def expected_pairs(values):
 @pytest.mark.parametrize("block_rows", [8192, 2])
 def test_exact_equals_brute_force(case, per_key, block_rows):
     values, _, groups = case
-    pairs = neardup.similar_groups(groups, per_key=per_key, block_rows=block_rows).collect()
+    pairs = neardup.similar_groups(groups, "exact", per_key=per_key, block_rows=block_rows).collect()
     got = [((r["rep_a"], r["rep_b"]), r["differing_bits"]) for r in pairs]
     assert len(got) == len(set(got))
     assert dict(got) == expected_pairs(values)
@@ -58,7 +58,7 @@ def test_exact_equals_brute_force(case, per_key, block_rows):
 
 def test_counts_and_listing(case, spark):
     values, docs, groups = case
-    pairs = neardup.similar_groups(groups, rows=len(values)).cache()
+    pairs = neardup.similar_groups(groups, "exact", rows=len(values)).cache()
     counts = neardup.near_duplicate_counts(docs, "doc_id", groups, pairs).collect()
     want = {i: sum(near(v, w) for w in values) - 1 for i, v in enumerate(values)}
     assert {r["doc_id"]: r["similar_docs"] for r in counts} == want
@@ -84,8 +84,8 @@ def test_one_text_with_a_third_of_all_rows(spark):
     values += [values[0]] * 30 + [values[0] ^ 1] * 10
     rows = [(i, signed_long(v >> 64), signed_long(v & (2**64 - 1))) for i, v in enumerate(values)]
     docs = spark.createDataFrame(rows, "doc_id long, sig_hi long, sig_lo long")
-    groups = neardup.signature_groups(docs, "doc_id").cache()
-    pairs = neardup.similar_groups(groups, rows=100, block_rows=2)
+    groups = neardup.signature_groups(docs, "doc_id", "exact").cache()
+    pairs = neardup.similar_groups(groups, "exact", rows=100, block_rows=2)
     counts = neardup.near_duplicate_counts(docs, "doc_id", groups, pairs).collect()
     want = {i: sum(near(v, w) for w in values) - 1 for i, v in enumerate(values)}
     assert {r["doc_id"]: r["similar_docs"] for r in counts} == want
@@ -117,7 +117,7 @@ def test_lsh_finds_a_subset_and_the_close_texts(spark):
 
 def test_plan_is_an_equi_join(case, capsys):
     _, _, groups = case
-    neardup.similar_groups(groups, per_key=1).explain()
+    neardup.similar_groups(groups, "exact", per_key=1).explain()
     plan = capsys.readouterr().out
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
@@ -130,3 +130,15 @@ def test_key_length_grows_with_the_table():
 def test_unknown_mode(case):
     with pytest.raises(ValueError):
         neardup.similar_groups(case[2], mode="fuzzy")
+
+
+def test_equal_bits_keep_the_bands_of_every_member(spark):
+    """b and c have equal bits; only c shares bands with a."""
+    a = list(range(128))
+    c = a[:124] + [v + 1000 for v in a[124:]]
+    b = [v + 2000 for v in c]
+    rows = [("a", a), ("b", b), ("c", c)]
+    docs = with_signature_words(spark.createDataFrame(rows, "doc_id string, minhash array<long>"))
+    pairs = [(r.rep_a, r.rep_b) for r in neardup.similar_groups(neardup.signature_groups(docs, "doc_id")).collect()]
+    exact = neardup.similar_groups(neardup.signature_groups(docs, "doc_id", "exact"), "exact").collect()
+    assert pairs == [(r.rep_a, r.rep_b) for r in exact]
