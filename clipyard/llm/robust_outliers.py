@@ -36,7 +36,7 @@ NEAR, NEAR_CHI2 = 0.75, 6.6257
 FLOORS = {"word_length": 0.05, "symbols": 0.03, "capitals": 0.05, "repeats": 0.3, "dup_lines": 0.3}
 STEPS = 6
 #: Squared distance beyond which a text is rejected: a bulk with long tails stays inside.
-CUTOFF = 70.0
+CUTOFF = 200.0
 #: Rows a group needs for an estimate of its own; smaller groups of a language are pooled,
 #: and languages that are still too small once more. A pool under MIN_FIT rejects nothing.
 MIN_GROUP = 200
