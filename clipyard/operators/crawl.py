@@ -18,11 +18,10 @@ from clipyard.session import (
 )
 from clipyard.sources.crawl import MAX_DEPTH
 
-#: A page with more links than this may get its edges spread over SALTS keys.
-HOT_DEGREE = 10_000
-#: At most this many such pages are marked (heaviest first); their list is broadcast.
-HOT_PAGES = 1000
-SALTS = 64
+#: Edges of one page under one key: a page with more gets a lane for each such many.
+LANE_EDGES = 10_000
+#: Edges that a bucket of the stored edge table is meant to hold.
+BUCKET_EDGES = 4_000_000
 
 TASK = ["url", "doc_type"]
 #: Paths multiply from level to level: 38 digits hold ten levels of 6,000 links each.
@@ -43,7 +42,7 @@ def child_tasks(parents: DataFrame, link: str, max_depth: int = MAX_DEPTH, *keep
 
 
 class _Edges:
-    """Edges stored by source page, hot source pages spread over SALTS keys.
+    """Edges stored by source page; a page's edges are spread over lanes by their number.
 
     Stored once in buckets, so a round shuffles its frontier but not the edges.
     """
@@ -51,30 +50,25 @@ class _Edges:
     KEYS = ["src", "doc_type", "salt"]
 
     def __init__(self, edges: DataFrame):
-        degrees = edges.groupBy("src", "doc_type").agg(F.count(F.lit(1)).alias("degree"))
-        heavy = degrees.filter(F.col("degree") > HOT_DEGREE).orderBy(F.desc("degree"), "src")
-        self.hot, hot_rows = materialize_counted(
-            heavy.limit(HOT_PAGES).select("src", "doc_type", F.lit(True).alias("hot")), "hot-pages"
-        )
-        self.any_hot = hot_rows > 0
-        salt = F.lit(0)
-        if self.any_hot:
-            edges = edges.join(F.broadcast(self.hot), ["src", "doc_type"], "left")
-            lane = F.pmod(F.xxhash64("link"), F.lit(SALTS)).cast("int")
-            salt = F.when(F.col("hot"), lane).otherwise(0)
         self.spark = edges.sparkSession
+        degrees = materialize(
+            edges.groupBy("src", "doc_type").agg(F.count(F.lit(1)).alias("degree")), "degrees"
+        )
+        lanes = F.ceil(F.col("degree") / LANE_EDGES).cast("int").alias("lanes")
+        self.wide = degrees.filter(F.col("degree") > LANE_EDGES).select("src", "doc_type", lanes)
+        total = degrees.agg(F.sum("degree")).first()[0] or 0
+        buckets = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_EDGES))
+        laned = edges.join(self.wide, ["src", "doc_type"], "left")
+        salt = F.pmod(F.xxhash64("link"), F.coalesce("lanes", F.lit(1))).cast("int")
         self.table = materialize_bucketed(
-            edges.select("src", "doc_type", "link", salt.alias("salt")), "edges", self.KEYS
+            laned.select("src", "doc_type", "link", salt.alias("salt")), "edges", self.KEYS, buckets
         )
 
     def follow(self, level: DataFrame) -> DataFrame:
         """Links of the tasks of one level: ``link, depth, visits``."""
-        parents = level.withColumnRenamed("url", "src")
-        lanes = F.array(F.lit(0))
-        if self.any_hot:
-            parents = parents.join(F.broadcast(self.hot), ["src", "doc_type"], "left")
-            lanes = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(lanes)
-        parents = parents.withColumn("salt", F.explode(lanes))
+        parents = level.withColumnRenamed("url", "src").join(self.wide, ["src", "doc_type"], "left")
+        lanes = F.sequence(F.lit(0), F.coalesce("lanes", F.lit(1)) - 1)
+        parents = parents.withColumn("salt", F.explode(lanes)).drop("lanes")
         return parents.join(self.spark.table(self.table), self.KEYS).select("link", "depth", "visits")
 
     def drop(self) -> None:

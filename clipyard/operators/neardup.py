@@ -156,7 +156,7 @@ def bucket_pairs(keyed: DataFrame, max_differing: int, block_rows: int = BLOCK_R
     """
     bucket = ["band", "key"]
     sizes = keyed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    shared = lookup(keyed, sizes, bucket, weight="members", spread="rep", how="inner")
+    shared = lookup(keyed, sizes, bucket, how="inner")
     shared = shared.withColumn(
         "blocks", F.ceil(F.col("members") / block_rows).cast("int")
     ).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
@@ -253,7 +253,7 @@ def near_duplicate_counts(docs: DataFrame, key: str, groups: DataFrame, pairs: D
         "copies",
         (F.col("copies") - 1 + F.coalesce("nearby", F.lit(0))).alias("similar_docs"),
     )
-    counted = lookup(docs, summary, ["sig_hi", "sig_lo"], weight="copies", spread=key)
+    counted = lookup(docs, summary, ["sig_hi", "sig_lo"])
     return counted
 
 
@@ -297,8 +297,6 @@ def group_members(docs: DataFrame, key: str, groups: DataFrame) -> DataFrame:
         docs.select(key, "sig_hi", "sig_lo"),
         groups.select("sig_hi", "sig_lo", "rep", "copies"),
         ["sig_hi", "sig_lo"],
-        weight="copies",
-        spread=key,
         how="inner",
     )
     return found.select(key, "rep")

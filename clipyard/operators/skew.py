@@ -3,38 +3,18 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows of the key table that may be broadcast, by construction of ``limit``.
-HOT_KEYS = 1000
 
-
-def lookup(facts: DataFrame, keys: DataFrame, on, weight: str, spread: str, how="left"):
+def lookup(facts: DataFrame, keys: DataFrame, on, how="left") -> DataFrame:
     """Join ``facts`` to a table with one row per key, safe for hot keys.
 
-    ``weight`` is the column of ``keys`` that tells how many fact rows carry the
-    key, ``spread`` a well-distributed column of ``facts``. The HOT_KEYS heaviest
-    keys are broadcast (that many rows at most); any key left over holds less
-    than 1/HOT_KEYS of the facts. Fact rows that found their key that way enter
-    the shuffle join under a key of their own, so they spread over all tasks.
-    ``how`` is ``left`` or ``inner``.
+    A plain equi-join of two shuffled tables, which is the form whose skewed partitions
+    Spark splits at run time: whatever the number of hot keys, rows of ``facts`` of one
+    key go to as many tasks as their size asks for, and the one row of the key goes to
+    each. ``how`` is ``left`` or ``inner``. Null keys match nothing.
     """
     on = [on] if isinstance(on, str) else list(on)
     values = [c for c in keys.columns if c not in on]
-    hot = keys.orderBy(F.desc(weight), *on).limit(HOT_KEYS)
-    hot = hot.select(*on, F.struct(*values).alias("_hot"))
-    # The shuffle join has one more key: the hash of the join key, or for a row that
-    # is already served the hash of its own, so that such rows go everywhere.
-    cold = keys.select(
-        *[F.col(c).alias(f"_k_{c}") for c in on],
-        F.xxhash64(*on).alias("_k_lane"),
-        F.struct(*values).alias("_cold"),
-    )
-    lane = F.when(F.col("_hot").isNull(), F.xxhash64(*on)).otherwise(F.xxhash64(spread))
-    served = facts.join(F.broadcast(hot), on, "left").withColumn("_lane", lane)
+    renamed = keys.select(*[F.col(c).alias(f"_k_{c}") for c in on], *values)
     match = [F.col(c) == F.col(f"_k_{c}") for c in on]
-    joined = served.join(cold, [*match, F.col("_lane") == F.col("_k_lane")], "left")
-    found = F.coalesce(F.col("_hot"), F.col("_cold"))
-    if how == "inner":
-        joined = joined.filter(found.isNotNull())
-    return joined.select(
-        *[joined[c] for c in facts.columns], *[found[v].alias(v) for v in values]
-    )
+    joined = facts.join(renamed, match, how)
+    return joined.select(*[joined[c] for c in facts.columns], *[joined[v] for v in values])

@@ -33,6 +33,10 @@ def local_session(cores="*", shuffle_partitions=8, **conf):
     return builder.getOrCreate()
 
 
+#: Temporary folders of local sessions that name none, by application.
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -44,9 +48,10 @@ def scratch_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="clipyard-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[application] = tempfile.mkdtemp(prefix="clipyard-")
+    return _LOCAL_SCRATCH[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -73,7 +78,7 @@ def materialize_counted(df: DataFrame, name: str = "table", path: str | None = N
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
 
 
-def materialize_bucketed(df: DataFrame, name: str, keys: list[str]) -> str:
+def materialize_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> str:
     """Write ``df`` to the shared folder hashed and sorted by ``keys``; returns a table name.
 
     Joins on exactly these keys read the table in place and shuffle the other side
@@ -82,7 +87,6 @@ def materialize_bucketed(df: DataFrame, name: str, keys: list[str]) -> str:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     table = path.rsplit("/", 1)[-1].replace("-", "_")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
         df.repartition(buckets, *keys)
         .write.bucketBy(buckets, *keys)

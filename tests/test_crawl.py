@@ -70,9 +70,9 @@ def walk(edges, seeds, max_depth, dedup):
     return dict(visits)
 
 
-@pytest.mark.parametrize("dedup, hot_degree", [(True, 10_000), (False, 10_000), (True, 3), (False, 3)])
-def test_expand(spark, monkeypatch, dedup, hot_degree):
-    monkeypatch.setattr(crawl, "HOT_DEGREE", hot_degree)
+@pytest.mark.parametrize("dedup, lane_edges", [(True, 10_000), (False, 2)])
+def test_expand(spark, monkeypatch, dedup, lane_edges):
+    monkeypatch.setattr(crawl, "LANE_EDGES", lane_edges)
     rng = random.Random(11)
     nodes = [f"n{i}" for i in range(40)]
     edges = {(u, 1): rng.choices(nodes, k=rng.choice([0, 1, 2, 6])) for u in nodes}
@@ -114,3 +114,16 @@ def test_crawl_end_to_end(spark):
     )
     assert {(r["url"], r["depth"]) for r in reached.collect()} == {("root", 0), ("p1", 1), ("p2", 2), ("missing", 2)}
     assert {(r["url"], r["topic"], r["filling"]) for r in found.collect()} == {("p1", "t1", "body 1"), ("p2", "t2", "body 2")}
+
+
+def test_parallel_links_are_counted_beyond_64_bits(spark):
+    edges = spark.createDataFrame([("a", 1, "a")] * 200, "src string, doc_type int, link string")
+    reached = crawl.expand(edges, spark.createDataFrame([("a", 1, 0)], TASK), max_depth=10, dedup=False)
+    assert {r["depth"]: int(r["visits"]) for r in reached.collect()} == {d: 200**d for d in range(11)}
+
+
+def test_only_the_latest_snapshot_counts(spark):
+    pages = spark.createDataFrame([("u", "old", 1), ("u", "new", 2), ("v", "x", None), ("v", "x", None)], "url string, html string, version int")
+    rows = crawl.latest_snapshots(pages, "version").select("url", "html").collect()
+    assert sorted(map(tuple, rows)) == [("u", "new"), ("v", "x")]
+    assert crawl.latest_snapshots(pages).count() == 2
