@@ -1,3 +1,73 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
-ORACLE_SQL = {}
+from clipyard.llm.queries import PROBE_TEXT
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+#: Base32 letters of a SHA-1: five hex digits at a time are four letters.
+BASE32 = """array_to_string(list_transform(range(8), lambda g:
+  array_to_string(list_transform([15, 10, 5, 0], lambda s:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(sha1(payload), (5 * g + 1)::BIGINT, 5))::BIGINT >> s::INTEGER) & 31)::BIGINT + 1, 1)), '')), '')"""
+
+WARC = f"""WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS payload FROM pages),
+top AS (SELECT payload, max(page_id) AS target FROM p GROUP BY payload),
+q AS (SELECT *, target IS NOT NULL AND page_id IS DISTINCT FROM target AS revisit FROM p JOIN top USING (payload))
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, {BASE32} AS payload_digest,
+       CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN revisit THEN target END AS refers_to, url
+FROM q"""
+
+
+def _shingled(table, key):
+    return f"""
+  SELECT DISTINCT {key}, unnest(CASE
+    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM (SELECT {key}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM {table})"""
+
+
+LEAKS = f"""WITH items AS ({_shingled("benchmark", "item_id")}),
+held AS ({_shingled("documents", "doc_id")}),
+sizes AS (SELECT item_id, count(*) AS n_shingles FROM items GROUP BY item_id),
+shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM held JOIN items USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, n_shared, n_shingles, round(n_shared / n_shingles, 6) AS containment
+FROM shared JOIN sizes USING (item_id) WHERE n_shared >= 0.8 * n_shingles - 1e-9"""
+
+_ESCAPED = "replace(replace({0}, '\\', '\\\\'), '<|', '<\\|')"
+CHAT = f"""WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{PROBE_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{PROBE_TEXT}'),
+placed AS (
+  SELECT *, row_number() OVER o AS n, lag(role) OVER o AS before
+  FROM turns WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(24 + length({_ESCAPED.format("text")})
+              + length(replace({_ESCAPED.format("role")}, chr(10), '\\n')))::BIGINT AS formatted_chars,
+       bool_and(CASE WHEN before IS NULL THEN role IN ('system', 'user')
+                     WHEN before IN ('system', 'assistant') THEN role = 'user'
+                     WHEN before = 'user' THEN role = 'assistant' ELSE false END) AS order_valid
+FROM placed GROUP BY conv_id"""
+
+REPEATS = f"""WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i+12], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words)),
+firsts AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s),
+gone AS (
+  SELECT doc_id, list(DISTINCT p) AS places
+  FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM windows JOIN firsts USING (s) WHERE first < doc_id)
+  GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
+       sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(places, []), i)), ' ')) AS kept_sha256
+FROM words LEFT JOIN gone USING (doc_id)"""
+
+ORACLE_SQL = {
+    "op1_warc_packages": WARC,
+    "op4_benchmark_leaks": LEAKS,
+    "op5_chat_format": CHAT,
+    "op10_repeated_passages": REPEATS,
+}
