@@ -67,7 +67,7 @@ def test_pipeline(spark, tmp_path):
     with open(PATH, "rb") as file:
         model = sp.Model(file.read())
     want = plain_pipeline(rows, items)
-    assert 150 < len(want) < 260
+    assert 150 < len(want) < len(rows) - 40  # every stage takes some
     expected = sorted(((d, n, model.encode(pa.array([t])).to_pylist()[0]) for d, t, _, _, n in want), key=str)
     assert sorted(((r.doc_id, r.n_chars, r.ids) for r in got), key=str) == expected
     assert all(r.n_pieces == len(r.ids) for r in got)
