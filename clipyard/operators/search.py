@@ -123,8 +123,12 @@ def similar_to_each(
 
 
 def term(df: DataFrame, field: str, value, k: int = DEFAULT_HITS, key="doc_key") -> DataFrame:
-    """First ``k`` documents whose field equals ``value`` exactly (not analysed)."""
-    return df.filter(F.col(field) == F.lit(value)).orderBy(key).limit(k)
+    """First ``k`` documents whose field equals ``value`` exactly (not analysed).
+
+    ``total_hits`` counts all of them, by a scan of that one column.
+    """
+    found = df.filter(F.col(field) == F.lit(value))
+    return found.orderBy(key).limit(k).withColumn("total_hits", count_all(found).scalar())
 
 
 def term_count(df: DataFrame, field: str, value) -> DataFrame:
@@ -137,8 +141,9 @@ def count_all(df: DataFrame) -> DataFrame:
 
 
 def match_all(df: DataFrame, k: int = MATCH_ALL_HITS, key="doc_key") -> DataFrame:
-    """The first ``k`` documents as JSON strings, in key order."""
-    return df.orderBy(key).limit(k).select(key, F.to_json(F.struct(*df.columns)).alias("source"))
+    """The first ``k`` documents as JSON strings, in key order, with the number of all."""
+    first = df.orderBy(key).limit(k).select(key, F.to_json(F.struct(*df.columns)).alias("source"))
+    return first.withColumn("total_hits", count_all(df).scalar())
 
 
 def aggregation_field(name: str | None) -> str:

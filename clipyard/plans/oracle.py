@@ -205,11 +205,12 @@ ORACLE_SQL = {
     "match_url": match("url", ["https", "src3", "example.org", "news"]),
     "match_all_1000": f"""WITH {ARTICLES}
 SELECT doc_id, to_json({{doc_id: doc_id, url: url, topic: topic, date: date, author: author,
-                        filling: filling}})::VARCHAR AS source
+                        filling: filling}})::VARCHAR AS source, count(*) OVER () AS total_hits
 FROM articles ORDER BY doc_id LIMIT 1000""",
     "count_all": "SELECT count(*) AS total_hits FROM documents",
     "term_count": "SELECT count(*) AS total_hits FROM documents WHERE lang = 'en'",
-    "term_list": "SELECT doc_id, lang, source FROM documents WHERE lang = 'en' ORDER BY doc_id LIMIT 10",
+    "term_list": """SELECT doc_id, lang, source, count(*) OVER () AS total_hits
+FROM documents WHERE lang = 'en' ORDER BY doc_id LIMIT 10""",
     "standard_tokens": f"""WITH tokens AS (
   SELECT doc_id, regexp_extract_all(lower(text), '{STANDARD}') AS t FROM documents)
 SELECT doc_id, len(t)::INTEGER AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5 FROM tokens""",
@@ -332,6 +333,7 @@ WHERE NOT (index_name LIKE 'logstash-%' AND created < TIMESTAMP '2024-01-30' - I
 GROUP BY index_name""",
     "log_text_scan": f"WITH {LINES} SELECT level, class, count(*) AS events FROM formatted GROUP BY ALL",
     "stream_index": UPSERT,
+    "stream_pages": f"WITH {SITE_PAGES} SELECT url, topic, date, author, filling FROM site",
     "stream_after_batch": f"""WITH {MESSAGES}
 SELECT doc_key, 2 * count(*) + 1 AS rows, max(seq) AS seq FROM sent GROUP BY doc_key""",
     "declared_table": "SELECT source AS author, count(*) AS articles FROM documents GROUP BY source",

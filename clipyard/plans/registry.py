@@ -80,7 +80,7 @@ def term_count(spark, sf):
 
 def term_list(spark, sf):
     hits = search.term(table(spark, sf, "documents"), *TERM, key="doc_id")
-    return hits.select("doc_id", "lang", "source")
+    return hits.select("doc_id", "lang", "source", "total_hits")
 
 
 def standard_token_counts(spark, sf):
@@ -397,6 +397,19 @@ def declared_table(spark, sf):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def stream_pages(spark, sf):
+    """Pages arriving in two files, extracted and stored as articles, with a restart."""
+    folder, path = scratch_path(spark, "page-feed"), scratch_path(spark, "articles")
+    state = scratch_path(spark, "stream-state")
+    pages = derived.site_pages(_texts(spark, sf)).select("url", "doc_type", "depth", "html")
+    half = F.pmod(F.xxhash64("url"), F.lit(2))
+    for part in range(2):  # the second run finds its checkpoint and new pages
+        pages.filter(half == part).write.mode("append").parquet(folder)
+        feed = crawl_sources.page_stream(spark, folder)
+        index_stream.start_page_indexing(feed, path, state).awaitTermination()
+    return article_table.read_all(spark, path).select(*ARTICLE_FIELDS)
+
+
 def _run_log_stream(spark, sf, start):
     lines = derived.log_lines(_stream(spark, sf, "events"))
     path = scratch_path(spark, "stream-logs")
@@ -465,6 +478,7 @@ QUERIES = {
     "log_drop_expired": log_drop_expired,
     "log_text_scan": log_text_scan,
     "stream_index": stream_index,
+    "stream_pages": stream_pages,
     "stream_after_batch": stream_after_batch,
     "declared_table": declared_table,
     "stream_logs": stream_logs,

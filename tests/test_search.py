@@ -74,6 +74,7 @@ def test_term_and_counts(docs):
 
 def test_match_all(docs):
     rows = search.match_all(docs, k=2).collect()
+    assert {r["total_hits"] for r in rows} == {6}
     assert [r["doc_key"] for r in rows] == ["k1", "k2"] and '"topic":"red fox"' in rows[0]["source"]
 
 
