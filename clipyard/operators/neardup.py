@@ -41,6 +41,7 @@ from clipyard.functions.minhash import (
     max_differing_bits,
     similarity,
 )
+from clipyard.operators.components import components
 from clipyard.operators.skew import lookup
 
 LSH_BANDS = 32
@@ -291,6 +292,18 @@ def similar_to_chosen(
     return own.unionByName(others)
 
 
+def clusters(docs: DataFrame, key: str, groups: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Per document the smallest document it is linked to over any chain: ``key, cluster``.
+
+    One row per document however many pairs a family of near-copies has.
+    """
+    linked = components(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")))
+    labelled = groups.join(linked, F.col("rep") == F.col("node"), "left").select(
+        "sig_hi", "sig_lo", F.coalesce("component", "rep").alias("cluster")
+    )
+    return lookup(docs.select(key, "sig_hi", "sig_lo"), labelled, ["sig_hi", "sig_lo"]).select(key, "cluster")
+
+
 def group_members(docs: DataFrame, key: str, groups: DataFrame) -> DataFrame:
     """Documents of the given groups: ``key, rep``."""
     found = lookup(

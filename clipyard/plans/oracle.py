@@ -242,6 +242,11 @@ SELECT doc_id, rep AS group_rep, copies, similar_docs
 FROM signed JOIN groups USING (bits) JOIN similar_docs USING (doc_id)""",
     "near_duplicate_groups": f"""WITH {SIGNED}, {GROUPS}
 SELECT doc_id, rep FROM signed JOIN groups USING (bits)""",
+    "near_duplicate_clusters": f"""WITH RECURSIVE {SIGNED}, {GROUPS}, {PAIRS},
+ends AS (SELECT rep_a AS a, rep_b AS b FROM pairs UNION ALL SELECT rep_b, rep_a FROM pairs),
+reach(x, y) AS (SELECT rep, rep FROM groups UNION SELECT x, b FROM reach JOIN ends ON y = a),
+labels AS (SELECT x AS rep, min(y) AS cluster FROM reach GROUP BY x)
+SELECT doc_id, cluster FROM signed JOIN groups USING (bits) JOIN labels USING (rep)""",
     "near_duplicates_of_labelled": f"""WITH {SIGNED}, {GROUPS},
 asked AS (
   SELECT rep, bits, count(*) AS chosen FROM signed JOIN groups USING (bits)

@@ -152,6 +152,13 @@ def near_duplicate_counts(spark, sf):
     return counted.select("doc_id", "group_rep", "copies", "similar_docs")
 
 
+def near_duplicate_clusters(spark, sf):
+    """The smallest document each one is linked to over chains of similar groups."""
+    stored, groups = _stored_groups(spark, sf, "exact")
+    pairs = neardup.similar_groups(groups, "exact")
+    return neardup.clusters(stored, "doc_id", groups, pairs)
+
+
 def near_duplicates_of_labelled(spark, sf):
     """The groups similar to the documents labelled toxic."""
     stored, groups = _stored_groups(spark, sf, "exact")
@@ -449,6 +456,7 @@ QUERIES = {
     "near_duplicates_lsh": near_duplicates_lsh,
     "near_duplicate_counts": near_duplicate_counts,
     "near_duplicate_groups": near_duplicate_groups,
+    "near_duplicate_clusters": near_duplicate_clusters,
     "near_duplicates_of_labelled": near_duplicates_of_labelled,
     "shingles5": shingles5,
     "bucket_minima_512": bucket_minima_512,
