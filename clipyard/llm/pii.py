@@ -4,7 +4,8 @@ DataFrame functions only. A pattern's matches and the text between them come fro
 same leftmost, non-overlapping search, so adding up their lengths gives positions in
 code points. Quantifiers are possessive, and a match may not begin inside a run that
 was already refused, so long runs neither backtrack nor overflow a stack; the matches
-are those of the plain patterns.
+are those of the plain patterns. An IBAN's end shows only in its checksum: its pattern
+gives starts, and the ends of words after each are tried.
 """
 
 from dataclasses import dataclass
@@ -47,7 +48,8 @@ KINDS = (
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", r"[0-9][\x20-]?[0-9]", 0.8, "card|visa|credit|debit|payment"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.6, "phone|call|tel|mobile|fax"),
     Kind(
-        "iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}",
+        # An empty match at every place where one may begin; the group is all that may belong to it.
+        "iban", r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+[A-Za-z0-9]?))", r"[A-Z]{2}[0-9]{2}",
         0.95, "iban|account|bank|konto", False,
     ),
     Kind(
@@ -63,6 +65,13 @@ KINDS = (
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _IP = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
 _BLOCK = 64
+#: Registered lengths of IBANs by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 
 
 def _digits(value: Column) -> Column:
@@ -97,11 +106,6 @@ def _passes(kind: str, value: Column) -> Column:
         return bind(_digits(value), lambda d: F.when(F.length(d).between(16, 19), luhn(d)).otherwise(False))
     if kind == "phone":
         return F.length(_digits(value)).between(8, 15)
-    if kind == "iban":
-        return bind(
-            F.replace(value, F.lit(" ")),
-            lambda v: F.when(F.length(v).between(15, 34), mod97(v)).otherwise(False),
-        )
     if kind == "ssn":
         return ~value.rlike(r"^(?:000|666|9)|-00-|-0000$")
     return F.lit(True)
@@ -169,6 +173,81 @@ def kind_spans(text: Column, kind: Kind) -> Column:
     return F.when(text.rlike(kind.hint), bind(found, build)).otherwise(F.array()).cast(_SPAN)
 
 
+def iban_length(run: Column) -> Column:
+    """Characters of the IBAN at the start of ``run``, spaces included; 0 if there is none.
+
+    It ends where a word ends, has 15 to 34 letters and digits and passes mod-97. Of
+    several such ends that of the country's registered length counts, else the last.
+    """
+    code = F.left(run, F.lit(2))
+    registered = F.lit(0)
+    for n, codes in IBAN_LENGTHS.items():
+        registered = F.when(code.isin(codes.split()), n).otherwise(registered)
+
+    def measure(words):
+        # The last word runs on if it ends in a small letter.
+        ends = F.sequence(F.lit(1), F.size(words))
+        whole = F.filter(ends, lambda k: (k < F.size(words)) | ~F.get(words, k - 1).rlike("[a-z]$"))
+
+        def end(k):
+            return bind(
+                F.array_join(F.slice(words, F.lit(1), k), ""),
+                lambda v: F.when(
+                    F.length(v).between(15, 34) & mod97(v),
+                    F.struct((F.length(v) == registered).alias("known"), (F.length(v) + k - 1).alias("n")),
+                ),
+            )
+
+        return F.coalesce(F.array_max(F.transform(whole, end))["n"], F.lit(0))
+
+    return bind(F.split(run, " "), measure)
+
+
+def iban_spans(text: Column, kind: Kind) -> Column:
+    """Confirmed spans of IBANs: every start is tried, the first of overlapping ones counts."""
+
+    def build(found):
+        # No empty piece comes before a match at the very start.
+        gaps = F.when(F.size(found["gaps"]) > F.size(found["runs"]), F.slice(found["gaps"], F.lit(1), F.size(found["runs"])))
+        gaps = F.coalesce(gaps, F.concat(F.array(F.lit("")), F.slice(found["gaps"], F.lit(1), F.size(found["runs"]) - 1)))
+        sizes = F.transform(gaps, lambda g: F.length(g))
+
+        def place(sizes):
+            def with_starts(before):
+                def candidate(run, i):
+                    start = F.get(before, i) + F.get(sizes, i)
+                    return bind(iban_length(run), lambda n: F.struct(start.alias("start"), (start + n).alias("end")))
+
+                passed = F.filter(F.transform(found["runs"], candidate), lambda s: s["end"] > s["start"])
+                none = F.array().cast("array<struct<start:int,end:int>>")
+                return F.aggregate(
+                    passed, none,
+                    lambda a, s: F.when(s["start"] >= F.coalesce(F.get(a, F.size(a) - 1)["end"], F.lit(0)), F.concat(a, F.array(s))).otherwise(a),
+                )
+
+            return bind(_running_starts(sizes), with_starts)
+
+        def scored(spans):
+            def span(s, i):
+                left = F.greatest(s["start"] - BEFORE, F.coalesce(F.when(i > 0, F.get(spans, F.greatest(i - 1, F.lit(0)))["end"]), F.lit(0)))
+                right = F.least(s["end"] + AFTER, F.coalesce(F.get(spans, i + 1)["start"], s["end"] + AFTER))
+                near = F.lower(
+                    F.concat_ws(" ", F.substr(text, left + 1, s["start"] - left), F.substr(text, s["end"] + 1, right - s["end"]))
+                )
+                gain = F.when(near.rlike(f"(?<![a-z0-9])(?:{kind.context})(?![a-z0-9])"), CONTEXT_GAIN).otherwise(0.0)
+                return F.struct(F.lit(kind.name).alias("kind"), s["start"], s["end"], F.least(F.lit(1.0), F.lit(kind.score) + gain).alias("score"))
+
+            return F.transform(spans, span)
+
+        return bind(bind(sizes, place), scored)
+
+    found = F.struct(
+        F.split(text, kind.pattern, -1).alias("gaps"),
+        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1)).alias("runs"),
+    )
+    return F.when(text.rlike(kind.hint), bind(found, build)).otherwise(F.array()).cast(_SPAN)
+
+
 def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with ``spans``: all spans by kind as listed in ``KINDS``, then by start.
 
@@ -177,7 +256,7 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Nothing is shuffled and each text is read whole.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    spans = F.concat(*[kind_spans(text, kind) for kind in KINDS])
+    spans = F.concat(*[(iban_spans if kind.name == "iban" else kind_spans)(text, kind) for kind in KINDS])
     return with_once(docs.drop("spans"), spans=spans)
 
 
