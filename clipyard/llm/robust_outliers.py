@@ -37,6 +37,10 @@ FLOORS = {"word_length": 0.05, "symbols": 0.03, "capitals": 0.05, "repeats": 0.3
 STEPS = 6
 #: Squared distance beyond which a text is rejected: a bulk with long tails stays inside.
 CUTOFF = 200.0
+#: The same before the scaling of ``fit``: chi-square 0.999 (20.515, 5 degrees) over the share
+#: 0.707 of its variance that the nearest NEAR of a normal group has. Where most rows are copies
+#: the scale has no bound; texts this close by FLOORS alone stay.
+FLOOR_CUTOFF = 29.0
 #: Rows a group needs for an estimate of its own; smaller groups of a language are pooled,
 #: and languages that are still too small once more. A pool under MIN_FIT rejects nothing.
 MIN_GROUP = 200
@@ -159,7 +163,7 @@ def _distance() -> Column:
 def _start(rows: DataFrame) -> DataFrame:
     """Medians and quartile ranges of each group as first centre and scatter."""
     quartiles = rows.groupBy(*_KEY).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.sum("copies").alias("n"),
         *[F.percentile(name, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(name) for name in FEATURES],
     )
     columns = [*_KEY, "n"]
@@ -209,7 +213,8 @@ def _estimate(near: DataFrame) -> DataFrame:
 
 
 def fit(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Parameters per ``_lang, _source`` of ``rows`` (a stored table of features).
+    """Parameters per ``_lang, _source`` of ``rows`` (a stored table of features, one row a
+    distinct text with its number of ``copies``): copies do not hide how other texts vary.
 
     The last row of numbers is scaled so that NEAR of the group lies within the
     chi-square quantile. Parameters are written after each step; their table is as
@@ -237,8 +242,9 @@ def judge(
     The columns ``carry`` of ``docs`` (all by default, the text included) come along.
     ``kept`` is false where the base rules fail (fewer than 50 words, or over half the
     words in repeated runs of three) and where the squared distance from the group's
-    centre is over ``cutoff``. Features that vary less than FLOORS count as equal, so a
-    group of copies is no fault. A null text counts as empty, null languages and
+    centre is over ``cutoff`` and, unscaled, over FLOOR_CUTOFF. Features that vary less
+    than FLOORS count as equal, so neither a group of copies nor other texts beside
+    them are a fault. A null text counts as empty, null languages and
     sources as empty strings. ``distance`` is null where the base rules fail and in
     pools too small to tell. An empty table gives no rows.
     """
@@ -247,14 +253,16 @@ def judge(
     stats = with_statistics(docs.select(*needed), text_col)
     keep = [*dict.fromkeys([c for c in carry if c in stats.columns]), *[c for c in (lang_col, source_col) if c not in carry]]
     extra = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "base_failed"]
-    stats = materialize(stats.select(*[c for c in keep if c not in extra], *extra, *[v.alias(f"_f_{n}") for n, v in _features().items()]), "statistics")
+    stats = materialize(stats.select(*[c for c in keep if c not in extra], *extra, F.xxhash64(text_col).alias("_text_key"), *[v.alias(f"_f_{n}") for n, v in _features().items()]), "statistics")
     grouped = with_group(stats, lang_col, source_col)
     features = [F.col(f"_f_{n}").alias(n) for n in FEATURES]
-    rows = materialize(grouped.filter("not base_failed").select(*_KEY, *features), "features")
+    rows = grouped.filter("not base_failed").select(*_KEY, "_text_key", *features)
+    rows = rows.groupBy(*_KEY, "_text_key", *FEATURES).agg(F.count(F.lit(1)).alias("copies"))
+    rows = materialize(rows.drop("_text_key"), "features")
     params = fit(rows, steps)
     judged = grouped.withColumns({n: F.col(f"_f_{n}") for n in FEATURES}).join(params, _KEY, "left")
-    distance = F.when(~F.col("base_failed") & (F.col("n") >= MIN_FIT), _distance() * F.col("_scale"))
-    result = judged.withColumn("distance", distance).withColumn(
-        "kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)
-    )
+    judged = with_once(judged, _floored=F.when(~F.col("base_failed") & (F.col("n") >= MIN_FIT), _distance()))
+    result = judged.withColumn("distance", F.col("_floored") * F.col("_scale"))
+    far = (F.col("distance") > cutoff) & (F.col("_floored") > FLOOR_CUTOFF)
+    result = result.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
     return result.select(*[c for c in carry if c not in extra + ["distance", "kept"]], *extra, "distance", "kept")
