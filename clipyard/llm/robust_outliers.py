@@ -34,6 +34,10 @@ NEAR, NEAR_CHI2 = 0.75, 6.6257
 #: Smallest standard deviation of each feature: values this close are no difference. A
 #: repeated line or phrase is common in clean text, so those two are held loosely.
 FLOORS = {"word_length": 0.05, "symbols": 0.03, "capitals": 0.05, "repeats": 0.3, "dup_lines": 0.3}
+#: Features held so loosely in the joint distance that none can reject; each is also judged
+#: alone, by the group's own spread with this smallest deviation and chi-square 0.999 (1 degree).
+ALONE = {"repeats": 0.2, "dup_lines": 0.2}
+ALONE_CUTOFF = 10.828
 STEPS = 6
 #: Squared distance beyond which a text is rejected: a bulk with long tails stays inside.
 CUTOFF = 200.0
@@ -172,6 +176,7 @@ def _start(rows: DataFrame) -> DataFrame:
         spread = F.greatest((q[2] - q[0]) / 1.349, F.lit(FLOORS[name]))
         columns.append(q[1].alias(f"m_{i}"))
         columns += [(1 / spread if i == j else F.lit(0.0)).alias(f"w_{i}_{j}") for j in range(i + 1)]
+        columns += [F.pow((q[2] - q[0]) / 1.349, F.lit(2)).alias(f"v_{i}")] if name in ALONE else []
     return quartiles.select(*columns)
 
 
@@ -193,9 +198,12 @@ def _estimate(near: DataFrame) -> DataFrame:
     sums += [F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"s_{i}_{j}") for i, j in _PAIRS]
     table = near.groupBy(*_KEY).agg(F.first("_cut").alias("_cut"), *sums)
     table = table.withColumns({f"m_{i}": F.col(f"s_{i}") / F.col("k") / SCALE for i in range(P)})
+    spreads = [f"v_{i}" for i, name in enumerate(FEATURES) if name in ALONE]
     cov = {}
     for i, j in _PAIRS:
         c = F.col(f"s_{i}_{j}") / F.col("k") / SCALE / SCALE - F.col(f"m_{i}") * F.col(f"m_{j}")
+        if i == j and FEATURES[i] in ALONE:
+            cov[f"v_{i}"] = F.greatest(c, F.lit(0.0))
         cov[f"c_{j}_{i}"] = c + FLOORS[FEATURES[i]] ** 2 if i == j else c
     table = table.withColumns(cov)
     for i in range(P):  # Cholesky, a column at a time
@@ -209,7 +217,17 @@ def _estimate(near: DataFrame) -> DataFrame:
             else:
                 value = -sum((F.col(f"l_{i}_{k}") * F.col(f"w_{k}_{j}") for k in range(j, i)), F.lit(0.0)) / F.col(f"l_{i}_{i}")
             table = table.withColumn(f"w_{i}_{j}", value)
-    return table.select(*_KEY, "_cut", *[f"m_{i}" for i in range(P)], *[f"w_{i}_{j}" for i in range(P) for j in range(i + 1)])
+    return table.select(*_KEY, "_cut", *[f"m_{i}" for i in range(P)], *[f"w_{i}_{j}" for i in range(P) for j in range(i + 1)], *spreads)
+
+
+def _far_alone() -> Column:
+    """Is a feature of ALONE far above the group's centre by itself?"""
+    far = F.lit(False)
+    for i, name in enumerate(FEATURES):
+        if name in ALONE:
+            above = F.greatest(F.col(name) / SCALE - F.col(f"m_{i}"), F.lit(0.0))
+            far = far | (above * above > ALONE_CUTOFF * (F.col(f"v_{i}") + ALONE[name] ** 2))
+    return far
 
 
 def fit(rows: DataFrame, steps: int = STEPS) -> DataFrame:
@@ -242,7 +260,8 @@ def judge(
     The columns ``carry`` of ``docs`` (all by default, the text included) come along.
     ``kept`` is false where the base rules fail (fewer than 50 words, or over half the
     words in repeated runs of three) and where the squared distance from the group's
-    centre is over ``cutoff`` and, unscaled, over FLOOR_CUTOFF. Features that vary less
+    centre is over ``cutoff`` and, unscaled, over FLOOR_CUTOFF, or where repeated words or lines
+    alone are far above the group's. Features that vary less
     than FLOORS count as equal, so neither a group of copies nor other texts beside
     them are a fault. A null text counts as empty, null languages and
     sources as empty strings. ``distance`` is null where the base rules fail and in
@@ -264,5 +283,6 @@ def judge(
     judged = with_once(judged, _floored=F.when(~F.col("base_failed") & (F.col("n") >= MIN_FIT), _distance()))
     result = judged.withColumn("distance", F.col("_floored") * F.col("_scale"))
     far = (F.col("distance") > cutoff) & (F.col("_floored") > FLOOR_CUTOFF)
+    far = far | (F.col("_floored").isNotNull() & _far_alone())
     result = result.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
     return result.select(*[c for c in carry if c not in extra + ["distance", "kept"]], *extra, "distance", "kept")
