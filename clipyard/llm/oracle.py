@@ -65,9 +65,86 @@ SELECT doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
        sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(places, []), i)), ' ')) AS kept_sha256
 FROM words LEFT JOIN gone USING (doc_id)"""
 
+
+def _centroids_sql(k=8, rounds=10, dims=64, scale=1024, tag="3"):
+    """Lloyd rounds written out, one pair of CTEs a round."""
+    q = f"list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT)"
+    parts = [
+        f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, {q}) AS rid, vec_id, {q} AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = {dims}
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))))""",
+        "comps AS MATERIALIZED (SELECT rid, unnest(range(" + str(dims) + ")) AS j, unnest(v) AS x FROM kept)",
+        f"""c0 AS (SELECT c, j, x FROM (
+  SELECT rid, row_number() OVER (ORDER BY sha256('{tag}:' || vec_id::VARCHAR), v) - 1 AS c
+  FROM kept WHERE vec_id IS NOT NULL) JOIN comps USING (rid) WHERE c < {k})""",
+    ]
+    for r in range(rounds + 1):
+        parts.append(
+            f"""a{r} AS (SELECT v.rid, c.c, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS d
+  FROM comps v JOIN c{r} c USING (j) GROUP BY v.rid, c.c
+  QUALIFY row_number() OVER (PARTITION BY v.rid ORDER BY d, c.c) = 1)"""
+        )
+        if r < rounds:
+            parts.append(
+                f"""c{r + 1} AS (SELECT o.c, o.j, coalesce(m.x, o.x) AS x FROM c{r} o LEFT JOIN (
+  SELECT c, j, ((s - ((s % n) + n) % n) // n)::BIGINT AS x
+  FROM (SELECT a.c, v.j, sum(v.x) AS s, count(*) AS n FROM a{r} a JOIN comps v USING (rid) GROUP BY a.c, v.j)) m
+  USING (c, j))"""
+            )
+    parts.append(f"cs AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY j)) AS h FROM c{rounds} GROUP BY c)")
+    return (
+        "WITH "
+        + ",\n".join(parts)
+        + f"""
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, h AS centroid_sha256
+FROM a{rounds} JOIN kept USING (rid) JOIN cs USING (c)"""
+    )
+
+
+CENTROIDS = _centroids_sql()
+
+_BY_CAP = "ORDER BY source_size * 3 / w, src"
+MIX = f"""WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
+         ('0x' || substr(sha256(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+  FROM documents),
+per AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+weighted AS (
+  SELECT *, [5, 2, 1][((src - 1) % 3) + 1] AS w
+  FROM (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS src FROM per)),
+ordered AS (
+  SELECT *, row_number() OVER ({_BY_CAP}) AS o,
+         sum(source_size) OVER () - coalesce(sum(source_size * 3) OVER (
+           {_BY_CAP} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+         sum(w) OVER () - coalesce(sum(w) OVER ({_BY_CAP} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS wrest
+  FROM weighted),
+firsts AS (SELECT *, min(CASE WHEN source_size * 3 * wrest >= w * rest THEN o END) OVER () AS first FROM ordered),
+levels AS (SELECT *, max(CASE WHEN o = first THEN rest / wrest END) OVER () AS level FROM firsts),
+targets AS (
+  SELECT source, source_size,
+         CASE WHEN first IS NULL OR o < first THEN (source_size * 3)::DOUBLE ELSE level * w END AS target
+  FROM levels),
+fulls AS (SELECT *, (CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END)::BIGINT AS copies FROM targets),
+needs AS (SELECT *, target - copies * source_size AS need FROM fulls),
+units AS (SELECT source, h, sum(size) AS sw FROM sized GROUP BY source, h),
+bound AS (
+  SELECT source, h, after - sw AS before, after, need
+  FROM (SELECT u.source, h, sw, sum(sw) OVER (PARTITION BY u.source ORDER BY h) AS after, need
+        FROM units u JOIN needs n ON u.source IS NOT DISTINCT FROM n.source WHERE need > 0)
+  WHERE after > need QUALIFY row_number() OVER (PARTITION BY source ORDER BY h) = 1),
+cuts AS (SELECT source, CASE WHEN after - need < need - before THEN h + 1 ELSE h END AS cut FROM bound)
+SELECT s.doc_id, s.size, n.source_size, n.target,
+       (s.size * (n.copies + CASE WHEN n.need > 0 AND (c.cut IS NULL OR s.h < c.cut) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM sized s JOIN needs n ON s.source IS NOT DISTINCT FROM n.source
+LEFT JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source"""
+
 ORACLE_SQL = {
     "op1_warc_packages": WARC,
     "op4_benchmark_leaks": LEAKS,
     "op5_chat_format": CHAT,
     "op10_repeated_passages": REPEATS,
+    "op11_centroid_clusters": CENTROIDS,
+    "op13_source_mix": MIX,
 }

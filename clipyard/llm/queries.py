@@ -4,9 +4,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipyard.llm import (
+    centroids,
     chat,
     decontaminate,
     histogram_sort,
+    mixing,
     pii,
     robust_outliers,
     sentencepiece_unigram,
@@ -129,6 +131,17 @@ def op10_repeated_passages(spark, sf_dir):
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_centroid_clusters(spark, sf_dir):
+    """All kept embeddings in 8 clusters after 10 exact integer rounds."""
+    assigned, cents = centroids.cluster(_table(spark, sf_dir, "embeddings"))
+    return centroids.with_inertia(assigned, cents)
+
+
+def op13_source_mix(spark, sf_dir):
+    """Words every document gives to a mix of sources weighted 5, 2, 1, at most 3 times each."""
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -142,5 +155,7 @@ QUERIES = {
         op8_simhash_near_duplicates,
         op9_pii_spans,
         op10_repeated_passages,
+        op11_centroid_clusters,
+        op13_source_mix,
     )
 }
