@@ -105,6 +105,27 @@ FROM a{rounds} JOIN kept USING (rid) JOIN cs USING (c)"""
 
 CENTROIDS = _centroids_sql()
 
+NEGATIVES = """WITH r AS (
+  SELECT DISTINCT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::INTEGER AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::DOUBLE) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = 64
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE)))),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, r.vec_id, r.label,
+         list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM r a JOIN r ON a.vec_id % 100 = 0),
+pos AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s
+  WHERE label = anchor_label AND vec_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM pos p JOIN s ON s.anchor_id = p.anchor_id
+  WHERE s.label <> s.anchor_label AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score)
+WHERE rank <= 5"""
+
 _BY_CAP = "ORDER BY source_size * 3 / w, src"
 MIX = f"""WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
@@ -146,5 +167,6 @@ ORACLE_SQL = {
     "op5_chat_format": CHAT,
     "op10_repeated_passages": REPEATS,
     "op11_centroid_clusters": CENTROIDS,
+    "op12_hard_negatives": NEGATIVES,
     "op13_source_mix": MIX,
 }

@@ -7,6 +7,7 @@ from clipyard.llm import (
     centroids,
     chat,
     decontaminate,
+    hard_negatives,
     histogram_sort,
     mixing,
     pii,
@@ -137,6 +138,11 @@ def op11_centroid_clusters(spark, sf_dir):
     return centroids.with_inertia(assigned, cents)
 
 
+def op12_hard_negatives(spark, sf_dir):
+    """Up to 5 hard negatives per anchor and positive, anchors every 100th vec_id."""
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_source_mix(spark, sf_dir):
     """Words every document gives to a mix of sources weighted 5, 2, 1, at most 3 times each."""
     return mixing.mix(_table(spark, sf_dir, "documents"))
@@ -156,6 +162,7 @@ QUERIES = {
         op9_pii_spans,
         op10_repeated_passages,
         op11_centroid_clusters,
+        op12_hard_negatives,
         op13_source_mix,
     )
 }
