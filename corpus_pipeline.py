@@ -8,7 +8,7 @@ but the last return the columns of ``documents``.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipyard.llm import decontaminate, near_copies, pii, robust_outliers, sentencepiece_unigram
+from clipyard.llm import decontaminate, pii, robust_outliers, sentencepiece_unigram, simhash
 from clipyard.llm.queries import tokenizer_path
 from clipyard.session import scratch_path, ship_package
 
@@ -22,9 +22,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word Jaccard of 0.8 or more."""
+    """One document of each SimHash group stays: the SimHash operator with its contract's
+    shingles of three words and at most three differing bits of 64, nothing beside."""
     ship_package(spark)
-    return near_copies.keep_one_of_each(docs.select(*COLUMNS))
+    return simhash.keep_one_of_each(docs.select(*COLUMNS), max_bits=simhash.MAX_BITS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
