@@ -39,10 +39,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_key", mode: str = "lsh", to
     groups = materialize(neardup.signature_groups(docs, key, mode), "groups")
     pairs = neardup.similar_groups(groups, mode)
     names = docs.select(key, topic)
+    columns = pairs.columns
     for side in "ab":
         named = names.select(F.col(key).alias(f"rep_{side}"), F.col(topic).alias(f"topic_{side}"))
         pairs = pairs.join(named, f"rep_{side}")
-    return pairs
+    # A join puts its key first: the pair's own order is restored, topics behind.
+    return pairs.select(*columns, "topic_a", "topic_b")
 
 
 def run_command(
