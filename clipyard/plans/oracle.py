@@ -339,6 +339,9 @@ GROUP BY index_name""",
     "log_text_scan": f"WITH {LINES} SELECT level, class, count(*) AS events FROM formatted GROUP BY ALL",
     "stream_index": UPSERT,
     "stream_pages": f"WITH {SITE_PAGES} SELECT url, topic, date, author, filling FROM site",
+    "stream_recrawl": f"""WITH {SITE_PAGES}, marked AS (SELECT *, substr(md5(url), 1, 1) < '8' AS changed FROM site)
+SELECT url, CASE WHEN changed THEN 1700086400000000 ELSE 1700000000000000 END::BIGINT AS seq,
+       CASE WHEN changed THEN 'NEW-' || topic ELSE topic END AS topic, date, author, filling FROM marked""",
     "stream_after_batch": f"""WITH {MESSAGES}
 SELECT doc_key, 2 * count(*) + 1 AS rows, max(seq) AS seq FROM sent GROUP BY doc_key""",
     "declared_table": "SELECT source AS author, count(*) AS articles FROM documents GROUP BY source",
