@@ -203,6 +203,7 @@ ORACLE_SQL = {
     "match_topic": match("topic", ["the", "and", "attion"]),
     "match_author": match("author", ["src8", "src12"]),
     "match_url": match("url", ["https", "src3", "example.org", "news"]),
+    "match_topic_postings": match("topic", ["the", "and", "attion"]),
     "match_all_1000": f"""WITH {ARTICLES}
 SELECT doc_id, to_json({{doc_id: doc_id, url: url, topic: topic, date: date, author: author,
                         filling: filling}})::VARCHAR AS source, count(*) OVER () AS total_hits

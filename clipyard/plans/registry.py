@@ -10,7 +10,7 @@ from clipyard.functions.text import shingles, standard_tokens
 from clipyard.operators import crawl as crawling
 from clipyard.operators import extract as ex
 from clipyard.operators import logs as log_ops
-from clipyard.operators import neardup, search
+from clipyard.operators import neardup, postings, search
 from clipyard.plans import commands, derived
 from clipyard.plans.derived import table
 from clipyard.schemas import ARTICLE_FIELDS
@@ -66,6 +66,14 @@ def match_on(field, query):
     return run
 
 
+def match_topic_postings(spark, sf):
+    """``match_topic`` through a postings index: built once, then only the query terms'
+    buckets and the blocks whose score bound can reach the top are read."""
+    docs = _fields(spark, sf, "topic").select("doc_id", "topic")
+    index = postings.build_index(docs, "topic", key="doc_id")
+    return postings.search(spark, index, docs, TOPIC_QUERY)
+
+
 def match_all_1000(spark, sf):
     return search.match_all(_articles(spark, sf), key="doc_id")
 
@@ -470,6 +478,7 @@ QUERIES = {
     "match_topic": match_on("topic", TOPIC_QUERY),
     "match_author": match_on("author", AUTHOR_QUERY),
     "match_url": match_on("url", URL_QUERY),
+    "match_topic_postings": match_topic_postings,
     "match_all_1000": match_all_1000,
     "count_all": count_all,
     "term_count": term_count,
