@@ -23,3 +23,12 @@ def with_once(df: DataFrame, **columns: Column) -> DataFrame:
     """
     row = F.struct(*[c.alias(n) for n, c in columns.items()])
     return df.select("*", F.inline(F.array(row)))
+
+
+def fresh(columns: list[str], base: str) -> str:
+    """A column name like ``base`` that none of ``columns`` has (case blind, as Spark)."""
+    taken = {c.lower() for c in columns}
+    name = base
+    while name.lower() in taken:
+        name = "_" + name
+    return name
