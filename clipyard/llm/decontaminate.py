@@ -15,7 +15,7 @@ shingle are verified on whole shingle sets.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipyard.functions.columns import bind
+from clipyard.functions.columns import bind, fresh
 from clipyard.session import materialize
 
 SHINGLE = 5
@@ -143,8 +143,10 @@ def find_contained(
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` (``doc_id, text, ...``) that hold no item."""
     found = find_contained(docs, items, threshold).select("doc_id", "row_key").distinct()
-    found = materialize(found, "contaminated").toDF("_id", "_key")
-    keyed = docs.withColumn("_row_key", F.xxhash64("text"))
-    same = keyed["doc_id"].eqNullSafe(found["_id"]) & (keyed["_row_key"] == found["_key"])
+    # Internal names that no column of ``docs`` has: extra columns pass through unchanged.
+    found_id, found_key, row_key = (fresh(docs.columns, n) for n in ("_id", "_key", "_row_key"))
+    found = materialize(found, "contaminated").toDF(found_id, found_key)
+    keyed = docs.withColumn(row_key, F.xxhash64("text"))
+    same = keyed["doc_id"].eqNullSafe(found[found_id]) & (keyed[row_key] == found[found_key])
     # The list is stored: where its files are small it is broadcast and no text moves.
     return keyed.join(found, same, "left_anti").select(*[keyed[c] for c in docs.columns])

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipyard.functions.columns import bind, with_once
+from clipyard.functions.columns import bind, fresh, with_once
 
 
 @dataclass(frozen=True)
@@ -297,4 +297,5 @@ def mask_pii(docs: DataFrame, text_col: str = "text", spans_col: str = "spans")
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
     masked = F.when(text.isNull() | (F.size(spans) == 0), text).otherwise(bind(ordered, rebuild))
     columns = [F.col(c) for c in docs.columns if c != text_col]
-    return with_once(docs, _masked=masked).select(*columns, F.col("_masked").alias(text_col))
+    name = fresh(docs.columns, "_masked")  # no clash with any column of ``docs``
+    return with_once(docs, **{name: masked}).select(*columns, F.col(name).alias(text_col))

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clipyard.functions.columns import fresh
 from clipyard.operators.components import components
 from clipyard.session import materialize
 
@@ -293,16 +294,19 @@ def near_duplicates(
 def keep_one_of_each(docs: DataFrame, max_bits: int = MAX_BITS, parts: int = PARTS) -> DataFrame:
     """The rows of ``docs`` (``doc_id, text, ...``) without near-duplicates: of each group
     the one with the smallest id, then the smallest ``xxhash64`` of its text; one of rows
-    that repeat both. A null id comes after all others."""
+    that repeat both. A null id comes after all others. Other columns, whatever their
+    names, come along unchanged."""
     rows = grouped_rows(docs, max_bits=max_bits, parts=parts)
     first = rows.groupBy("component").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "row_key")).alias("k"))
-    kept = materialize(first.select(_id_key("k.doc_id"), F.col("k.row_key").alias("_row_key")), "kept_rows")
-    keyed = docs.select("*", _id_key("doc_id"), F.xxhash64("text").alias("_row_key"))
-    keys = ["_id_key", "_row_key"]
+    # Internal names that no column of ``docs`` has: extra columns pass through unchanged.
+    id_key, row_key, once_col = (fresh(docs.columns, n) for n in ("_id_key", "_row_key", "_once"))
+    kept = materialize(first.select(_id_key("k.doc_id").alias(id_key), F.col("k.row_key").alias(row_key)), "kept_rows")
+    keyed = docs.select("*", _id_key("doc_id").alias(id_key), F.xxhash64("text").alias(row_key))
+    keys = [id_key, row_key]
     # Joined and numbered on the same keys: the texts are shuffled once.
     once = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    left = keyed.join(kept, keys, "left_semi").withColumn("_once", once)
-    return left.filter("_once = 1").select(*[left[c] for c in docs.columns])
+    left = keyed.join(kept, keys, "left_semi").withColumn(once_col, once)
+    return left.filter(F.col(once_col) == 1).select(*[left[c] for c in docs.columns])
 
 
 def _id_key(column: str) -> Column:
