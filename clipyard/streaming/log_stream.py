@@ -1,25 +1,36 @@
-"""Continuous log ingest: daily index of every line, severity files of parsed ones."""
+"""Continuous log ingest: daily index of every line, severity files of parsed ones.
+
+Each micro-batch is written as a batch job (``foreachBatch``) with a rebalance on its
+folders: adaptive execution cuts a folder that gets many bytes into several tasks and
+merges light ones into one file, by the bytes it observes rather than a fixed number of
+tasks. A batch lands in partitions ``batch=<writer>-<id>`` of its own and replaces them
+when it is replayed, so delivery is effectively once.
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipyard.operators.logs import route_by_severity, with_daily_index
 from clipyard.sources.logs import parse_lines
-
-
-#: Tasks that may write to one folder in a micro-batch.
-LANES = 4
+from clipyard.streaming.index_stream import writer_of
 
 
 def _start(rows: DataFrame, path: str, checkpoint: str, by: list[str], trigger: dict):
-    # Rows of a folder go to a few tasks, so a micro-batch writes a few files to each.
-    lane = F.pmod(F.xxhash64("line"), F.lit(LANES))
+    writer = writer_of(rows.sparkSession, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (
+            batch.withColumn("batch", F.lit(f"{writer}-{batch_id}"))
+            .hint("rebalance", *by)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*by, "batch")
+            .parquet(path)
+        )
+
     return (
-        rows.repartition(*by, lane).writeStream.format("parquet")
-        .option("path", path)
+        rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .partitionBy(*by)
-        .outputMode("append")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -127,3 +127,18 @@ def test_streams_equal_batches(spark):
             start(source, out, state).awaitTermination()
         got = spark.read.parquet(out).select(want.columns)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_stream_batches_are_rebalanced_and_replaced(spark):
+    folder = scratch_path(spark, "lines")
+    for line in LINES:
+        spark.createDataFrame([(line,)], "value string").write.mode("append").text(folder)
+    out, state = scratch_path(spark, "out"), scratch_path(spark, "state")
+    log_stream.start_severity_files(sources.line_stream(spark, folder), out, state).awaitTermination()
+    first = sorted(map(tuple, spark.read.parquet(out).select("day", "sink", "line", "batch").collect()))
+    # A replayed batch (the same writer and id written again) replaces its own partitions.
+    again = spark.read.parquet(out).drop("batch")
+    again.withColumn("batch", F.lit(first[0][3])).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("day", "sink", "batch").parquet(out)
+    assert sorted(map(tuple, spark.read.parquet(out).select("day", "sink", "line", "batch").collect())) == first
