@@ -142,7 +142,11 @@ def mix(docs: DataFrame) -> DataFrame:
     found = spark.createDataFrame([], "_m_src int, cut bigint")
     for part in cuts:
         found = found.unionByName(part)
-    placed = targets.join(found, "_m_src", "left").select("_m_src", "source_size", "target", "full", "cut")
+    # Written, so the join sees its real size (one row a source) and broadcasts it
+    # only under the session's limit; a hot source then is no hot task.
+    placed = materialize(
+        targets.join(found, "_m_src", "left").select("_m_src", "source_size", "target", "full", "cut"), "mix-placed"
+    )
     extra = F.when(F.col("cut").isNotNull() & (F.col("_m_h") < F.col("cut")), 1).otherwise(0)
     return units.join(placed, "_m_src").select(
         "doc_id",
