@@ -33,6 +33,8 @@ from clipyard.session import materialize, scratch_path
 PACKAGE_BYTES = 64 << 20
 #: Bytes one ranged read asks for; a longer record is a read of its own.
 SPAN_BYTES = 1 << 20
+#: Archive bytes one reading task takes.
+READ_TASK_BYTES = 32 << 20
 
 # Signatures and sizes of the ZIP format.
 _END, _END_SIZE = b"PK\x05\x06", 22
@@ -329,5 +331,9 @@ def read_packages(packages: DataFrame, payload: bool = True) -> DataFrame:
                     rows.append((*row, None if kind == "revisit" else body) if payload else row)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*rows), schema)], schema=schema)
 
-    spans = record_spans(packages).repartition("path", "start")
-    return spans.mapInArrow(run, ", ".join(f"{n} {kind}" for n, _, kind in fields))
+    # Span rows are tiny next to the archive bytes they name: the number of reading tasks
+    # follows those bytes, given explicitly so that no coalescing by row size merges them.
+    spans = materialize(record_spans(packages), "warc-spans")
+    total = spans.select(F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, n: a + n))).first()[0] or 0
+    tasks = max(1, -(-total // READ_TASK_BYTES))
+    return spans.repartition(tasks, "path", "start").mapInArrow(run, ", ".join(f"{n} {kind}" for n, _, kind in fields))
