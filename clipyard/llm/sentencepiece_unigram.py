@@ -29,6 +29,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
 #: Text handled at once; words searched side by side; longest word searched that way.
 SLICE_BYTES = 2 << 20
+#: Piece ids decoded in one block.
+DECODE_IDS = 1 << 20
 GROUP_WORDS = 8192
 GROUP_BYTES = 96
 KEPT_WORDS = 1_000_000
@@ -313,6 +315,49 @@ class Model:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.add_prefix and text.startswith(" ") else text
 
+    def decode_many(self, lists: pa.Array) -> pa.Array:
+        """``decode`` of every list: one gather over a pool of all pieces' bytes a block.
+
+        Blocks hold lists of at most ``DECODE_IDS`` ids (one list at least), so memory
+        stays bounded however long the texts and batches are. Lists whose bytes are not valid
+        UTF-8 (ids no encoding gives) are decoded one by one with replacement characters.
+        Null lists give null.
+        """
+        if not hasattr(self, "_pool"):
+            sizes = np.fromiter((len(x) for x in self.raw), np.int64, len(self.raw))
+            self._pool = (np.frombuffer(b"".join(self.raw), np.uint8), np.cumsum(sizes) - sizes, sizes)
+        lists = lists.cast(pa.list_(pa.int32()))
+        # Blocks by number of ids, known from the offsets alone: no array of the whole
+        # batch's ids is built.
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        blocks, start = [], 0
+        while True:
+            end = int(np.searchsorted(offsets, offsets[start] + DECODE_IDS, side="right")) - 1
+            end = min(max(end, start + 1), len(lists))
+            blocks.append(self._decode_block(lists.slice(start, end - start)))
+            start = end
+            if start >= len(lists):
+                break
+        return pa.concat_arrays(blocks) if len(blocks) > 1 else blocks[0]
+
+    def _decode_block(self, lists: pa.Array) -> pa.Array:
+        pool, begin, sizes = self._pool
+        ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        n = sizes[ids]
+        at = np.repeat(begin[ids] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(n)])[offsets - offsets[0]]
+        raw = pa.BinaryArray.from_buffers(
+            pa.binary(), len(lists), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(pool[at])]
+        )
+        try:
+            text = raw.cast(pa.string())
+        except pa.ArrowInvalid:
+            text = pa.array([None if b is None else b.decode("utf-8", "replace") for b in raw.to_pylist()], pa.string())
+        if self.add_prefix:
+            text = pc.if_else(pc.starts_with(text, " "), pc.utf8_slice_codeunits(text, 1), text)
+        return pc.if_else(lists.is_null(), pa.scalar(None, pa.string()), text)
+
 
 #: One model per file content in each Python worker.
 _models: dict[str, Model] = {}
@@ -342,7 +387,7 @@ def codec(spark, path: str):
     @F.arrow_udf(T.StringType())
     def decode(ids: pa.Array) -> pa.Array:
         own = model()
-        return pa.array([own.decode(x.values.to_pylist()) if x.is_valid else None for x in ids], pa.string())
+        return own.decode_many(ids)
 
     return encode, decode
 
