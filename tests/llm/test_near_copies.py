@@ -1,8 +1,9 @@
-"""The pipeline's near-duplicate stage against all pairs of five-word shingle sets."""
+"""The five-word near-copy operator against all pairs of five-word shingle sets.
+
+The pipeline's stage is SimHash now (its contract); `test_pipeline.py` covers it."""
 
 import random
 
-import corpus_pipeline
 from clipyard.llm import near_copies
 
 
@@ -60,7 +61,7 @@ def test_near_copies_go(spark):
         rows.append((4000 + i, " ".join([*family[:-1], f"end{i}"])))
     rows += [(5000, None), (5001, ""), (5002, " \n"), (5003, "a b"), (5004, "A\tb"), (None, "one more text"), (None, rows[0][1])]
     docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    got = corpus_pipeline.near_duplicates(spark, docs, "").select("doc_id").collect()
+    got = near_copies.keep_one_of_each(docs).select("doc_id").collect()
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == plain_keep(rows)
     left = {r.doc_id for r in got}
     assert len(planted) > 60 and not left & set(planted)
