@@ -154,10 +154,13 @@ def bucket_pairs(keyed: DataFrame, max_differing: int, block_rows: int = BLOCK_R
     """Verified pairs among rows sharing ``(band, key)``; may repeat over bands.
 
     ``keyed`` has ``band, key, rep, copies, sig_hi, sig_lo``.
+
+    Both joins are asked to be shuffled: Spark takes exploded rows for as small as the
+    groups they come from, and would gather all keys of a large table in the driver.
     """
     bucket = ["band", "key"]
     sizes = keyed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    shared = lookup(keyed, sizes, bucket, how="inner")
+    shared = lookup(keyed.hint("merge"), sizes, bucket, how="inner")
     shared = shared.withColumn(
         "blocks", F.ceil(F.col("members") / block_rows).cast("int")
     ).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
@@ -184,7 +187,7 @@ def bucket_pairs(keyed: DataFrame, max_differing: int, block_rows: int = BLOCK_R
     verified = (differing <= max_differing) & (
         (left["block_1"] < left["block_2"]) | (F.col("rep_a") < F.col("rep_b"))
     )
-    pairs = left.join(right, [*on, verified]).select(
+    pairs = left.join(right.hint("merge"), [*on, verified]).select(
         left["band"], *[c for c in left.columns if c.endswith("_a")],
         *[c for c in right.columns if c.endswith("_b")], differing.alias("differing_bits"),
     )

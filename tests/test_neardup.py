@@ -122,6 +122,16 @@ def test_plan_is_an_equi_join(case, capsys):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("per_key", [1, 2])
+def test_exploded_keys_are_never_broadcast(case, spark, capsys, tmp_path, per_key):
+    """Spark takes exploded keys for as small as the stored groups, whose size allows a broadcast."""
+    case[2].write.parquet(str(tmp_path / "groups"))
+    groups = spark.read.parquet(str(tmp_path / "groups"))
+    neardup.similar_groups(groups, "exact", per_key=per_key).explain()
+    plan = capsys.readouterr().out
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") >= 2
+
+
 def test_key_length_grows_with_the_table():
     lengths = [neardup.bands_per_key(10**n, 12) for n in range(1, 13)]
     assert lengths[:5] == [1] * 5 and lengths == sorted(lengths) and lengths[-1] == 4
