@@ -372,8 +372,10 @@ def log_text_scan(spark, sf):
 
 # Streams -------------------------------------------------------------------------------------
 def _stream(spark, sf, name):
+    """A table as a stream of its files; a table may be one file or a folder of them."""
     schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    # A file source takes one file only as a pattern; this one matches just the table.
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.[p]arquet")
 
 
 def stream_index(spark, sf):
