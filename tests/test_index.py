@@ -125,3 +125,16 @@ def test_published_messages_decode_to_what_was_sent(spark):
     sent = routing.publish_articles(rows, keep=["seq"])
     again = index_messages(sent, "seq").drop("what_to_do")
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_stream_reads_a_table_stored_as_a_file_or_a_folder(spark, tmp_path):
+    from clipyard.plans import registry
+
+    docs = spark.createDataFrame([(i, f"a text of {i} words") for i in range(6)], "doc_id long, text string")
+    docs = docs.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "10L AS n_chars")
+    docs.repartition(2).write.parquet(str(tmp_path / "folder" / "documents.parquet"))
+    (tmp_path / "file").mkdir()
+    docs.coalesce(1).write.parquet(str(tmp_path / "part"))
+    next((tmp_path / "part").glob("part-*.parquet")).rename(tmp_path / "file" / "documents.parquet")
+    folder, file = (registry.stream_index(spark, str(tmp_path / n)).collect() for n in ("folder", "file"))
+    assert len(folder) == 6 and sorted(map(tuple, folder)) == sorted(map(tuple, file))
