@@ -133,7 +133,7 @@ def bucket_minima(text: Column) -> Column:
         lambda s: _hex_hash(s, 15),
     )
     return bind(
-        F.array_sort(hashes),
+        F.sort_array(hashes),  # array_sort calls an interpreted comparator
         lambda h: F.filter(
             h,
             lambda x, i: (i == 0) | (bucket_of(x) != bucket_of(F.get(h, i - 1))),

@@ -39,9 +39,7 @@ def shingles(tokens: Column, size: int = 5) -> Column:
         starts = F.sequence(F.lit(0), F.size(t) - size)
         return F.when(
             F.size(t) >= size,
-            F.transform(
-                starts, lambda i: F.concat_ws(" ", *[F.get(t, i + n) for n in range(size)])
-            ),
+            F.transform(starts, lambda i: F.array_join(F.slice(t, i + 1, size), " ")),
         ).otherwise(F.array().cast("array<string>"))
 
     return bind(tokens, build)
