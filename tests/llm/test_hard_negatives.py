@@ -1,6 +1,8 @@
 import math
+import tracemalloc
 
 import duckdb
+import numpy as np
 
 from clipyard.llm import hard_negatives
 from clipyard.llm.oracle import NEGATIVES
@@ -52,3 +54,28 @@ def test_mine_empty_and_extra_columns(spark):
     df = spark.createDataFrame(_fixture(250), EMB)
     clashing = df.withColumnRenamed("label", "label").selectExpr("*", "1 AS q", "2 AS cell", "3 AS score")
     assert _rows(hard_negatives.mine(clashing).collect()) == _sql(df)
+
+
+def test_repeated_rows_of_large_values_in_several_anchor_blocks(spark, monkeypatch):
+    """A row that comes many times is one sample row: its score is not the fifth best."""
+    monkeypatch.setattr(hard_negatives, "LEAF_ROWS", 40)
+    monkeypatch.setattr(hard_negatives, "ANCHOR_ROWS", 3, raising=False)
+    rows = [(i, v and [x * 1000 for x in v], label) for i, v, label in _fixture(700)]
+    rows += [rows[i] for i in range(0, 600, 50) for _ in range(7)]
+    df = spark.createDataFrame(rows, EMB)
+    got = _rows(hard_negatives.mine(df).collect())
+    assert got and got == _sql(df)
+
+
+def test_scores_of_many_anchors_and_rows_are_never_in_memory_at_once():
+    rng = np.random.default_rng(1)
+    anchors, rows = (rng.integers(-100, 100, (n, 64)).astype(np.float32) for n in (3000, 20000))
+    lo = np.full(len(anchors), 100_000, dtype=np.int64)
+    tracemalloc.start()
+    found = [(i, j, s) for i, j, s in hard_negatives._scored(anchors, lo, rows)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6  # all scores at once take 240 MB
+    i, j, s = (np.concatenate(x) for x in zip(*found))
+    assert len(i) and (s == (anchors[i].astype(np.int64) * rows[j].astype(np.int64)).sum(axis=1)).all()
+    assert len(i) == sum(int((anchors[k] @ rows.T >= 100_000).sum()) for k in range(len(anchors)))
