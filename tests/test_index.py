@@ -109,6 +109,19 @@ def test_equal_sequence_numbers_give_one_stable_row(spark):
     assert found == again and len(found) == 2 and found[-1][1] in (1, 2)
 
 
+def test_latest_shuffles_only_what_the_reader_keeps(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("u", 1, "x" * 9, "b"), ("u", 1, "y" * 9, "a"), ("v", 2, None, "c")],
+                          "url string, seq long, wide string, note string").write.parquet(path)
+    rows = spark.read.parquet(path)
+    left = table.latest(rows, key="url").select("url", "note")
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join"):].splitlines()[1]
+    assert "Project" in joined and "_tie" in joined and ", wide#" not in joined.split(" AS _tie")[-1]
+    whole = {r.url: r.note for r in table.latest(rows, key="url").collect()}
+    assert {r.url: r.note for r in left.collect()} == whole and len(whole) == 2
+
+
 @pytest.mark.parametrize("mode", ["append"])
 def test_routing(spark, mode):
     rows = [("a", "1"), ("b", "2"), ("c", "3"), (None, "4")]

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +57,31 @@ def test_signature_ignores_order_and_repeats(spark):
     assert a == b
 
 
+def test_signature_of_rare_white_space_and_bad_bytes(spark):
+    """No-break spaces and next-line keep a token whole, bad bytes become U+FFFD."""
+    rare, plain = "a\x85b\xa0c\u2007d\u202fe \u3000f\x1fg", ["a\x85b\xa0c\u2007d\u202fe", "f", "g"]
+    bad = b"ab\xff c\xe2\x82 d"
+    df = spark.createDataFrame([(0, rare.encode()), (1, bad)], "id int, b binary")
+    got = [r[0] for r in df.orderBy("id").select(mh.signature(F.col("b").cast("string"))).collect()]
+    values = {int(hashlib.md5(t.encode()).hexdigest()[:7], 16) for t in plain}
+    assert got[0] == [min((a * v + b) % mh.PRIME for v in values) for a, b in mh.multipliers()]
+    assert got[1] == python_minima(bad.decode("utf-8", "replace"))
+
+
+def test_a_token_is_hashed_once_for_many_texts(monkeypatch):
+    hashed = []
+    monkeypatch.setattr(mh, "md5", lambda b: hashed.append(b) or hashlib.md5(b))
+    found = mh._slice_minima(["a b a", "", "b c"] * 500)
+    assert sorted(hashed) == [b"a", b"b", b"c"]
+    assert found.tolist() == [python_minima(t) for t in ["a b a", "", "b c"]] * 500
+
+
+def test_hash_family_at_the_ends_of_its_range():
+    values = [0, 1, 2**28 - 1, 2**27]
+    for (a, b), got in zip(mh.multipliers(), mh._family(np.array(values))):
+        assert got.tolist() == [(a * v + b) % mh.PRIME for v in values]
+
+
 def test_null_text_counts_as_empty(spark):
     empty, null = column(spark, ["", None], mh.signature)
     assert empty == null == [mh.PRIME] * 128
